@@ -6,7 +6,7 @@ import operator
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientbook.config import Scale
@@ -35,6 +35,18 @@ def on_scale(value: Column, scale: Scale) -> Column:
     )
 
 
+def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters and rules use as they are.
+
+    A filter on a projected column is normally moved below the projection with the column's
+    whole expression copied into every mention. Scores build on scores here, so the copies
+    multiply until the generated code no longer compiles. The output of a generator is not
+    copied, and a one-element ``inline`` is a generator that keeps each row as it is.
+    """
+    values = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def lookup(key: Column, table: dict) -> Column:
     """Simple ``CASE key WHEN …``; ``NULL`` for a key that is not in the table."""
     return first_match(((key == k, F.lit(v)) for k, v in table.items()), F.lit(None))

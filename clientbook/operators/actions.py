@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clientbook import config as c
 from clientbook.config import PortfolioConfig
-from clientbook.functions.rules import first_match, lookup
+from clientbook.functions.rules import evaluate_once, first_match, lookup
 
 # state:           critical      fading        thriving        steady
 DECISIONS = {
@@ -75,7 +75,7 @@ def with_actions(profile: DataFrame, cfg: PortfolioConfig) -> DataFrame:
         texts.monitor,
     )
     return (
-        profile.withColumn("action_type", action)
+        evaluate_once(profile, {"action_type": action})
         .withColumn("priority", priority)
         .withColumns(
             {

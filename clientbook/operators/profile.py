@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clientbook import config as c
 from clientbook.config import PortfolioConfig
 from clientbook.functions.money import change_pct, from_pennies
-from clientbook.functions.rules import first_match, lookup, on_scale
+from clientbook.functions.rules import evaluate_once, first_match, lookup, on_scale
 
 _NO_MEASURES = {
     "ltm_pennies": 0,
@@ -139,9 +139,8 @@ def with_segments(book: DataFrame, cfg: PortfolioConfig) -> DataFrame:
     change = first_match(
         [(level > prior_level, c.UPGRADED), (level < prior_level, c.DOWNGRADED)], c.STABLE
     )
-    return book.withColumns({"segment": segment, "prior_segment": prior}).withColumn(
-        "segment_change", change
-    )
+    both = evaluate_once(book, {"segment": segment, "prior_segment": prior})
+    return both.withColumn("segment_change", change)
 
 
 def with_health(book: DataFrame, cfg: PortfolioConfig) -> DataFrame:
@@ -163,7 +162,7 @@ def with_health(book: DataFrame, cfg: PortfolioConfig) -> DataFrame:
         return F.round(total, 1).cast("decimal(5,2)")
 
     engagement = (F.col("product_depth_pct") + F.col("digital_txn_pct")) / F.lit(2)
-    scored = book.withColumns(
+    dimensions = book.withColumns(
         {
             "activity_health": on_scale(F.col("txn_count_90d"), c.ACTIVITY_HEALTH),
             "revenue_health": on_scale(F.col("revenue_90d"), c.REVENUE_HEALTH),
@@ -175,13 +174,15 @@ def with_health(book: DataFrame, cfg: PortfolioConfig) -> DataFrame:
                 F.col("txn_count_prior_90d"), c.PRIOR_RECENCY_HEALTH
             ),
         }
-    ).withColumns(
+    )
+    scored = evaluate_once(
+        dimensions,
         {
             "health_score": composite("activity_health", "revenue_health", "recency_health"),
             "prior_health_score": composite(
                 "prior_activity_health", "prior_revenue_health", "prior_recency_health"
             ),
-        }
+        },
     )
     shift = F.col("health_score") - F.col("prior_health_score")
     trend = first_match(
