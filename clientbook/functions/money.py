@@ -19,6 +19,11 @@ def to_pennies(amount: Column) -> Column:
     return (amount * F.lit(100)).cast("bigint")
 
 
+def whole(number: Column) -> Column:
+    """A double rounded half away from zero to a ``BIGINT``, without leaving primitives."""
+    return F.when(number < 0, -F.floor(0.5 - number)).otherwise(F.floor(number + 0.5))
+
+
 def from_pennies(pennies: Column) -> Column:
     return (pennies.cast("decimal(17,0)") * F.lit(_PENNY)).cast("decimal(15,2)")
 

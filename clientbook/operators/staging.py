@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,12 +31,13 @@ _local_folder: str | None = None
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and continue from the stored rows.
+    """Write ``df`` to the shared folder and continue from the stored rows.
 
-    Stored rows outlive executors, and a second branch reads them instead of repeating
-    the work. Callers pass the narrowest frame they can: one short row per customer.
+    Stored rows outlive executors, and a second branch reads just its columns of them
+    instead of repeating the work. Callers pass the narrowest frame they can: one short row
+    per customer. Parquet rather than an RDD checkpoint, because it is a fraction of the size
+    and keeps column pruning and statistics for the branches that follow.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = "/".join((shared_folder(df.sparkSession), "clientbook-stage", uuid.uuid4().hex))
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

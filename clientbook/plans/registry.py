@@ -15,6 +15,7 @@ from clientbook.config import STAR_SCHEMA_CONFIG, PortfolioConfig
 from clientbook.operators.staging import shared_folder, staged
 from clientbook.plans import findings, quality, serving, snapshot, views
 from clientbook.plans.portfolio import Portfolio
+from clientbook.schemas import KEYS, TRANSACTIONS, conform
 from clientbook.sources import star_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,8 +95,6 @@ def _key_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _keyed(spark: SparkSession, folder: str):
-    from clientbook.schemas import KEYS
-
     for name, df in _inputs(spark, folder).items():
         yield name, df.select(KEYS[name]), KEYS[name]
 
@@ -218,7 +217,9 @@ _TABLE_QUERIES: dict[str, Query] = {
     "ingest_customers": lambda spark, folder: star_schema.customers(
         spark, folder, with_onboarding=True
     ),
-    "ingest_transactions": star_schema.transactions,
+    "ingest_transactions": lambda spark, folder: conform(
+        star_schema.transactions(spark, folder), TRANSACTIONS, keep_key_type="customer_id"
+    ),
     "ingest_products": lambda spark, folder: star_schema.products(spark, folder).drop(
         "product_category"
     ),

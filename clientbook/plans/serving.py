@@ -64,7 +64,9 @@ def health_heatmap_pivot(book: Portfolio) -> DataFrame:
         .pivot("health_category", list(c.HEALTH_CATEGORIES))
         .agg(F.count(F.lit(1)))
     )
-    rows = book.spark.createDataFrame([(name,) for name in c.SEGMENTS], "segment string")
+    rows = book.spark.range(1).select(
+        F.explode(F.array(*[F.lit(name) for name in c.SEGMENTS])).alias("segment")
+    )
     return (
         rows.join(counted, "segment", "left")
         .na.fill(0, list(c.HEALTH_CATEGORIES))

@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientbook.config import PortfolioConfig
 from clientbook.plans.portfolio import Portfolio
@@ -56,7 +57,7 @@ def run_snapshot(book: Portfolio, root: str, overwrite: bool = True) -> Portfoli
     if not overwrite and is_published(spark, root, cfg):
         return open_snapshot(spark, root, cfg)
     publish(book.book, os.path.join(root, BOOK))
-    stored = open_snapshot(spark, root, cfg)
+    stored = open_snapshot(spark, root, cfg, book.book.schema)
     require_non_empty(stored.customer_360(), "fct_customer_360")
     for table, build in FACTS.items():
         fact = build(stored)
@@ -68,9 +69,12 @@ def run_snapshot(book: Portfolio, root: str, overwrite: bool = True) -> Portfoli
     return stored
 
 
-def open_snapshot(spark: SparkSession, root: str, cfg: PortfolioConfig) -> Portfolio:
+def open_snapshot(
+    spark: SparkSession, root: str, cfg: PortfolioConfig, schema: T.StructType | None = None
+) -> Portfolio:
     """All facts, views and queries over a published date: only its partition is read."""
-    stored = spark.read.parquet(os.path.join(root, BOOK))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    stored = reader.parquet(os.path.join(root, BOOK))
     return Portfolio.from_book(stored.filter(F.col(_DATE) == F.lit(cfg.snapshot_date)), cfg)
 
 

@@ -59,8 +59,8 @@ def validate_inputs(spark: SparkSession, paths: dict[str, str]) -> None:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed scan of a file, a folder of files or a glob.
 
-    The schema is declared, so nothing is read twice to infer it. Columns are matched by
-    the header names, and a value that does not fit its type fails the job.
+    The schema is declared, so nothing is read twice to infer it. A header that differs from
+    it, or a value that does not fit its type, fails the job.
     """
     return (
         spark.read.schema(schema)

@@ -7,11 +7,16 @@ numeric: they join and shuffle faster than text.
 from __future__ import annotations
 
 import os
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientbook import schemas as s
+from clientbook.functions.money import whole
+
+FEE_RATE = Decimal("0.20")
+"""Part of a line's discount that counts as fee income."""
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -90,7 +95,12 @@ def transactions(spark: SparkSession, folder: str, with_product: bool = True) ->
         product = F.col("p_type")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
-    fee = F.round(price * discount * F.lit(0.20).cast("decimal(2,2)"), 2)
+    fee = F.round(price * discount * F.lit(FEE_RATE), 2)
+    # The same two amounts in whole pennies: prices and discounts have two decimals, so the
+    # products are whole numbers and one division is left to round.
+    price_pennies = whole(F.col("l_extendedprice") * 100)
+    discount_percent = whole(F.col("l_discount") * 100)
+    rate_percent = int(FEE_RATE * 100)
     return facts.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -100,4 +110,6 @@ def transactions(spark: SparkSession, folder: str, with_product: bool = True) ->
         F.col("o_orderpriority").alias("channel"),
         F.col("l_extendedprice").cast(s.MONEY).alias("transaction_value"),
         fee.cast(s.FEE).alias("fee_revenue"),
+        price_pennies.alias("value_pennies"),
+        whole(price_pennies * discount_percent * rate_percent / 10000).alias("fee_pennies"),
     )
