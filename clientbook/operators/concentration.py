@@ -89,14 +89,16 @@ def _with_shares(ranked: DataFrame) -> DataFrame:
     )
 
 
-def ladder(book: DataFrame, slices: int | None = None) -> DataFrame:
+def ladder(book: DataFrame, slices: int | None = None, is_stored: bool = False) -> DataFrame:
     """Every earner by revenue with its own and the cumulative share."""
-    return _with_shares(rank_and_accumulate(rungs(book), "revenue_ltm", "customer_id", slices))
+    return _with_shares(
+        rank_and_accumulate(rungs(book), "revenue_ltm", "customer_id", slices, is_stored)
+    )
 
 
-def top_of_ladder(book: DataFrame, n: int) -> DataFrame:
+def top_of_ladder(book: DataFrame, n: int, is_stored: bool = False) -> DataFrame:
     """The first ``n`` rungs only: no sort of the rest, just its total."""
-    earning = staged(rungs(book))
+    earning = rungs(book) if is_stored else staged(rungs(book))
     total = earning.agg(F.sum("revenue_ltm").alias("grand_total"))
     so_far = Window.orderBy("revenue_rank").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

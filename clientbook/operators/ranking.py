@@ -16,15 +16,21 @@ from clientbook.operators.staging import staged
 
 
 def rank_and_accumulate(
-    df: DataFrame, value: str, tie_break: str, slices: int | None = None
+    df: DataFrame,
+    value: str,
+    tie_break: str,
+    slices: int | None = None,
+    is_stored: bool = False,
 ) -> DataFrame:
     """Add ``revenue_rank``, ``cumulative`` and ``grand_total`` by ``value`` descending.
 
-    The slice number is stored with the rows: range boundaries come from sampling, so the
-    slices must not be drawn a second time for the second use of the frame.
+    Range partitioning samples its input before it reads it, so an input that is not stored
+    yet is staged first. The slice number is stored with the rows as well: a second use of
+    the frame must not draw the slices again.
     """
     order = [F.col(value).desc(), F.col(tie_break).asc()]
-    ranged = df.repartitionByRange(*([slices] if slices else []), *order)
+    source = df if is_stored else staged(df)
+    ranged = source.repartitionByRange(*([slices] if slices else []), *order)
     in_slice = Window.partitionBy("slice").orderBy(*order)
     local = staged(
         ranged.withColumn("slice", F.spark_partition_id())

@@ -40,7 +40,9 @@ def rank_cliff(book: Portfolio, depth: int = max(c.CONCENTRATION_TIERS)) -> Data
 
 def revenue_rank(book: Portfolio) -> DataFrame:
     """Rank of every earner by exact revenue, however many there are."""
-    ranked = ranking.rank_and_accumulate(book.ltm_revenue(), "revenue_ltm", "customer_id")
+    ranked = ranking.rank_and_accumulate(
+        book.ltm_revenue(), "revenue_ltm", "customer_id", is_stored=book.is_stored
+    )
     return ranked.select("revenue_rank", "customer_id", "revenue_ltm").orderBy("revenue_rank")
 
 

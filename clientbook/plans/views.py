@@ -108,12 +108,12 @@ def _ladder_layout(ranked: DataFrame) -> DataFrame:
 
 def concentration_ladder(book: Portfolio, slices: int | None = None) -> DataFrame:
     """All earners by rank with their own and the cumulative share."""
-    return _ladder_layout(concentration.ladder(ladder_source(book), slices))
+    return _ladder_layout(concentration.ladder(ladder_source(book), slices, book.is_stored))
 
 
 def top_of_ladder(book: Portfolio, n: int) -> DataFrame:
     """The first ``n`` ranks of the same ladder."""
-    return _ladder_layout(concentration.top_of_ladder(ladder_source(book), n))
+    return _ladder_layout(concentration.top_of_ladder(ladder_source(book), n, book.is_stored))
 
 
 def health_heatmap(book: Portfolio) -> DataFrame:

@@ -3,11 +3,7 @@
 import os
 import random
 import re
-from decimal import Decimal
-
 import pytest
-from pyspark.sql import functions as F
-
 from clientbook.operators import activity
 from clientbook.operators.staging import shared_folder
 from clientbook.plans import registry, serving, views
@@ -20,6 +16,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def final_plan(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
 def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
@@ -94,22 +95,18 @@ def test_measures_under_skew_and_any_partitioning(spark, skewed, partitions, shu
 
 
 def test_hot_customer_reaches_the_shuffle_as_few_rows(spark, skewed):
-    transactions = portfolio(spark, skewed).transactions.repartition(4)
-    df = activity.customer_measures(transactions, CFG)
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    first = text.index("ShuffleQueryStage")
-    assert first >= 0
-    # 5 products x 3 channels in the current period and one row for older activity, per task
-    usage = (
-        transactions.filter("customer_id = 'HOT'")
-        .withColumn("p", F.spark_partition_id())
-        .withColumn("current", F.col("transaction_date") >= F.lit(CFG.current_start))
-    )
-    combos = usage.select(
-        "p", F.when(F.col("current"), F.col("product_id")), F.when(F.col("current"), F.col("channel"))
-    ).distinct().count()
-    assert combos <= 4 * (5 * 3 + 1)
+    transactions = portfolio(spark, skewed).transactions.filter("customer_id = 'HOT'").repartition(4)
+    assert transactions.count() == 2000
+    for df, most in (
+        # 5 products x 3 channels in the current period and one row for older activity, per task
+        (activity.customer_measures(transactions, CFG), 4 * (5 * 3 + 1)),
+        (activity.period_totals(transactions, CFG), 4),
+    ):
+        df.collect()
+        stages = re.findall(r"ShuffleQueryStage.*?rowCount=([\d.E+]+)\)", final_plan(df), re.S)
+        shuffled = sorted(float(n) for n in stages)
+        assert shuffled[-1] == 2000  # our own repartition of the raw rows
+        assert all(n <= most for n in shuffled[:-1]) and len(shuffled) >= 2
 
 
 @needs_tables
@@ -177,9 +174,29 @@ def test_only_the_slice_offsets_are_broadcast_in_the_ladder(spark, skewed):
     assert text.count("rightHint=(strategy=broadcast)") == 1
 
 
-def test_shared_folder_is_taken_from_the_session(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path)) if False else None
-    assert shared_folder(spark) == shared_folder(spark)
+class FakeSession:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.folder = folder
+
+    def get(self, key, default=None):
+        assert key == "spark.checkpoint.dir"
+        return self.folder or default
+
+    def getConf(self):
+        return self
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_folder(FakeSession("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_folder(FakeSession("local[4]", "/mnt/shared")) == "/mnt/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("spark://host:7077"))
+    assert shared_folder(FakeSession("local[2]")) == shared_folder(FakeSession("local[*]"))
 
 
 def test_results_do_not_depend_on_partitioning(spark, skewed):
@@ -195,4 +212,3 @@ def test_results_do_not_depend_on_partitioning(spark, skewed):
         assert sorted(map(str, again.exceptions().collect())) == sorted(map(str, book.exceptions().collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert sum(r.revenue_ltm for r in one) == Decimal(sum(r.revenue_ltm for r in one))
