@@ -184,6 +184,11 @@ _PROFILE_QUERIES: dict[str, Callable[[Portfolio], DataFrame]] = {
         health_trends=[c.IMPROVING, c.DETERIORATING],
         action_types=[c.RETAIN, c.CROSS_SELL],
     ),
+    "explorer_table": lambda book: serving.page_table(serving.customer_explorer(book), "explorer"),
+    "feed_table": lambda book: serving.page_table(serving.exception_feed(book), "feed"),
+    "workbook_table": lambda book: serving.page_table(
+        serving.rm_workbook(book, priorities=[c.P1, c.P2, c.P3]), "workbook"
+    ),
     "explorer_kpis": serving.explorer_kpis,
     "explorer_kpis_filtered": lambda book: serving.explorer_kpis(book, segments=[c.VIP, c.GROWTH]),
     "health_by_segment": findings.health_by_segment,

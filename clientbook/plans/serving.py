@@ -18,6 +18,55 @@ from clientbook.plans.portfolio import Portfolio
 Choice = Iterable[str] | None
 
 
+# Columns and their order in the table of each page.
+PAGE_COLUMNS = {
+    "explorer": (
+        "customer_name",
+        "segment",
+        "health_category",
+        "health_trend",
+        "health_score",
+        "revenue_ltm",
+        "revenue_qoq_pct",
+        "txn_count_90d",
+        "products_active",
+        "action_type",
+        "priority",
+        "assigned_rm",
+    ),
+    "feed": (
+        "severity",
+        "exception_type",
+        "customer_name",
+        "segment",
+        "health_category",
+        "revenue_ltm",
+        "revenue_delta_pct",
+        "description",
+        "recommended_action",
+        "assigned_rm",
+    ),
+    "workbook": (
+        "priority",
+        "sla_days",
+        "customer_name",
+        "segment",
+        "health_category",
+        "health_trend",
+        "revenue_ltm",
+        "revenue_delta_pct",
+        "action_type",
+        "action_description",
+        "assigned_rm",
+    ),
+}
+
+
+def page_table(rows: DataFrame, page: str) -> DataFrame:
+    """The columns a page shows, in its order."""
+    return rows.select(*PAGE_COLUMNS[page])
+
+
 # -- single rows -----------------------------------------------------------------------
 
 

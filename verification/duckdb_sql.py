@@ -580,6 +580,20 @@ def oracle_sql() -> dict[str, str]:
             _EXPLORE,
             "segment IN ('VIP', 'Growth') AND health_category IN ('Healthy', 'Watchlist') AND health_trend IN ('Improving', 'Deteriorating') AND action_type IN ('Retain', 'Cross-Sell')",
         ),
+        "explorer_table": _select(
+            "acted",
+            f"""customer_name; segment; health_category; health_trend; {_half_up('score1', '10')} > health_score~; {_LTM_POUNDS} > revenue_ltm~;
+ {_DELTA1} > revenue_qoq_pct~; n_current > txn_count_90d#; n_products > products_active#; action_type; priority; assigned_rm""",
+        ),
+        "feed_table": _select(
+            "alerts",
+            f"severity; exception_type; customer_name; segment; health_category; {_LTM_POUNDS} > revenue_ltm~; {_DELTA1} > revenue_delta_pct~; description; recommended_action; assigned_rm",
+        ),
+        "workbook_table": _select(
+            "acted",
+            f"priority; sla_days#; customer_name; segment; health_category; health_trend; {_LTM_POUNDS} > revenue_ltm~; {_DELTA1} > revenue_delta_pct~; action_type; action_description; assigned_rm",
+            "action_type <> 'Monitor' AND priority <> 'P4'",
+        ),
         "explorer_kpis": _explorer_kpis("true"),
         "explorer_kpis_filtered": _explorer_kpis("segment IN ('VIP', 'Growth')"),
         # findings
