@@ -41,9 +41,10 @@ def open_star_schema(
     folder: str,
     cfg: PortfolioConfig = STAR_SCHEMA_CONFIG,
     with_product: bool = True,
+    with_region: bool = True,
 ) -> Portfolio:
     return Portfolio(
-        star_schema.customers(spark, folder),
+        star_schema.customers(spark, folder, with_region=with_region),
         star_schema.transactions(spark, folder, with_product),
         cfg,
     )
@@ -237,9 +238,23 @@ _TABLE_QUERIES: dict[str, Query] = {
 }
 
 
-def _over_portfolio(build: Callable[[Portfolio], DataFrame], with_product: bool) -> Query:
+# Of the queries over a portfolio, these alone show the region.
+_REGION_QUERIES = {
+    "customer_watchlist",
+    "rm_workbook",
+    "rm_workbook_by_manager",
+    "customer_explorer",
+    "customer_explorer_filtered",
+}
+
+
+def _over_portfolio(name: str, build: Callable[[Portfolio], DataFrame], with_product: bool) -> Query:
     return lambda spark, folder: plain(
-        build(open_star_schema(spark, folder, with_product=with_product))
+        build(
+            open_star_schema(
+                spark, folder, with_product=with_product, with_region=name in _REGION_QUERIES
+            )
+        )
     )
 
 
@@ -250,6 +265,6 @@ def _over_tables(build: Query) -> Query:
 def queries() -> dict[str, Query]:
     return {
         **{name: _over_tables(build) for name, build in _TABLE_QUERIES.items()},
-        **{name: _over_portfolio(build, True) for name, build in _PROFILE_QUERIES.items()},
-        **{name: _over_portfolio(build, False) for name, build in _MOVEMENT_QUERIES.items()},
+        **{name: _over_portfolio(name, build, True) for name, build in _PROFILE_QUERIES.items()},
+        **{name: _over_portfolio(name, build, False) for name, build in _MOVEMENT_QUERIES.items()},
     }

@@ -41,15 +41,24 @@ def _manager_id(nation_key: str):
     return F.concat(F.lit("RM"), F.lpad(F.col(nation_key).cast("string"), 3, "0"))
 
 
-def customers(spark: SparkSession, folder: str, with_onboarding: bool = False) -> DataFrame:
-    """The customer list. The onboarding date costs a pass over the orders, hence optional."""
-    nation = read_table(spark, folder, "nation")
-    region = read_table(spark, folder, "region")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
-    listed = read_table(spark, folder, "customer").join(
-        places, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    first_order = F.lit(None)
+def customers(
+    spark: SparkSession,
+    folder: str,
+    with_onboarding: bool = False,
+    with_region: bool = True,
+) -> DataFrame:
+    """The customer list.
+
+    The onboarding date costs a pass over the orders and the region two small lookups; both
+    are optional, because an outer join stays in the plan even if its columns are not used.
+    """
+    listed = read_table(spark, folder, "customer")
+    region = first_order = F.lit(None)
+    if with_region:
+        nations, regions = read_table(spark, folder, "nation"), read_table(spark, folder, "region")
+        places = nations.join(regions, nations.n_regionkey == regions.r_regionkey, "left")
+        listed = listed.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        region = F.col("r_name")
     if with_onboarding:
         firsts = (
             read_table(spark, folder, "orders")
@@ -64,7 +73,7 @@ def customers(spark: SparkSession, folder: str, with_onboarding: bool = False) -
         F.col("c_mktsegment").alias("customer_type"),
         first_order.cast("date").alias("onboarding_date"),
         _manager_id("c_nationkey").alias("relationship_manager"),
-        F.col("r_name").alias("region"),
+        region.cast("string").alias("region"),
         F.lit(1).alias("is_active"),
     )
 
