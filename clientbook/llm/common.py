@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def is_held_out(doc_id: Column) -> Column:
 def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``most`` bytes of text, or one row."""
     column = batch.column(batch.schema.get_field_index(text))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes.astype(np.int64)) // most
     start = 0
     for end in [*(np.flatnonzero(np.diff(part)) + 1), len(sizes)]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientbook.llm import mixing, url_lists, warc
+from clientbook.llm import minhash, mixing, url_lists, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_mixing": mixing.query,
         "op6_warc_revisits": warc.query,
+        "op9_minhash": minhash.query,
         "op10_url_lists": url_lists.query,
     }
 
@@ -23,5 +24,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_mixing": mixing.SQL,
         "op6_warc_revisits": warc.SQL,
+        "op9_minhash": minhash.SQL,
         "op10_url_lists": url_lists.SQL,
     }
