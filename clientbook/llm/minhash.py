@@ -163,9 +163,9 @@ def _half_keys(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _odd_sketch(shingles: np.ndarray) -> bytes:
+def _odd_sketch(shingles: np.ndarray) -> np.ndarray:
     cells = np.bincount((shingles % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
-    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
 
 
 def sketches(documents: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def sketches(documents: DataFrame) -> DataFrame:
             ("set_key", pa.binary()),
             ("left_halves", pa.list_(pa.int64())),
             ("right_halves", pa.list_(pa.int64())),
-            ("odd", pa.binary()),
+            ("odd", pa.list_(pa.int64())),
         ]
     )
 
@@ -196,7 +196,10 @@ def sketches(documents: DataFrame) -> DataFrame:
                         pa.array([_set_key(s) for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(at, left),
                         pa.ListArray.from_arrays(at, right),
-                        pa.array([_odd_sketch(s) for s in sets], pa.binary()),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (SKETCH_BITS // 64)),
+                            pa.array(np.concatenate([_odd_sketch(s) for s in sets])),
+                        ),
                     ],
                     schema=schema,
                 )
@@ -204,7 +207,7 @@ def sketches(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         each,
         "doc_id bigint, n_shingles bigint, set_key binary, left_halves array<bigint>,"
-        " right_halves array<bigint>, odd binary",
+        " right_halves array<bigint>, odd array<bigint>",
     )
 
 
@@ -269,17 +272,32 @@ def confirmed(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     return staged(both.select("a", "b", "left_set", "right_set").mapInArrow(compare, "a bigint, b bigint"))
 
 
-def _may_link(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs that neither sizes nor odd sketches rule out."""
-    a = facts.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("odd").alias("oa"))
-    b = facts.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("odd").alias("ob"))
+def _possible() -> Column:
+    """Neither the sizes na, nb nor the odd sketches oa, ob rule the pair out."""
     differ = F.lit(0)
     for word in range(SKETCH_BITS // 64):
-        part = [F.conv(F.hex(F.substring(c, word * 8 + 1, 8)), 16, -10).cast("bigint") for c in ("oa", "ob")]
-        differ = differ + F.bit_count(part[0].bitwiseXOR(part[1]))
+        differ = differ + F.bit_count(F.get("oa", F.lit(word)).bitwiseXOR(F.get("ob", F.lit(word))))
     # similarity >= p  <=>  symmetric difference <= (na + nb) * (1 - p) / (1 + p)
-    possible = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
-    return pairs.join(a, "a").join(b, "b").filter(_close_sizes("na", "nb")).filter(possible).select("a", "b")
+    close = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
+    return _close_sizes("na", "nb") & close
+
+
+def _sides(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(
+        facts.select(
+            *[F.col(c) for c in facts.columns if c not in ("doc_id", "n_shingles", "odd", "component")],
+            F.col("doc_id").alias(side),
+            F.col("n_shingles").alias(f"n{side}"),
+            F.col("odd").alias(f"o{side}"),
+            *[F.col(c).alias(f"c{side}") for c in facts.columns if c == "component"],
+        )
+        for side in ("a", "b")
+    )
+
+
+def _may_link(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    a, b = _sides(facts)
+    return pairs.join(a, "a").join(b, "b").filter(_possible()).select("a", "b")
 
 
 def _labelled(rows: DataFrame, links: list[DataFrame]) -> DataFrame:
@@ -324,12 +342,9 @@ def links(documents: DataFrame, representatives: DataFrame) -> DataFrame:
 
     # All pairs across the components that are left.
     still = staged(open_rows())
-    one = still.select("bucket", F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"))
-    two = still.select("bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("component").alias("cb"))
-    rest = (
-        one.join(two, "bucket").filter("ca < cb").filter(_close_sizes("na", "nb")).select("a", "b").distinct()
-    )
-    found.append(confirmed(documents, _may_link(rest, facts)))
+    one, two = _sides(still.drop("least").join(facts.select("doc_id", "odd"), "doc_id"))
+    rest = one.join(two, "bucket").filter((F.col("ca") < F.col("cb")) & _possible()).select("a", "b").distinct()
+    found.append(confirmed(documents, rest))
     return reduce(DataFrame.union, found)
 
 
