@@ -2,9 +2,9 @@
 
 Plain banding with K hashes per key and L tables needs K*L minhashes. Here two collections of
 ``HALVES`` half keys, each of K/2 minhashes, are combined pairwise: every pair of a left and a
-right half is the key of one table. HALVES**2 tables of K = 4 hashes then take 2*HALVES*2
-minhashes: 48 instead of 576. Two sets of similarity 0.75 miss each other with probability
-2*(1 - 0.75**2)**12 = 1e-4; at 0.8 it is 1e-5, and copies mostly have several neighbours.
+right half is the key of one table. 18**2 = 324 tables of K = 6 hashes then take 2*18*3 = 108
+minhashes instead of 1944. Two sets of similarity 0.75 miss each other with probability
+2*(1 - 0.75**3)**18 = 1e-4; at 0.8 it is 5e-6, and copies mostly have several neighbours.
 
 1. One pass over the texts gives per document the size and a 128-bit hash of its shingle set,
    the half keys and an odd sketch. Equal sets are one class with its smallest id.
@@ -33,8 +33,8 @@ from clientbook.operators.staging import staged
 WORDS = 5
 #: Links need ``100 * intersection >= PERCENT * union``.
 PERCENT = 75
-HALVES = 12
-HASHES_PER_HALF = 2
+HALVES = 18
+HASHES_PER_HALF = 3
 SKETCH_BITS = 1024
 #: Up to so many ids of documents to re-read are broadcast (8 bytes each); beyond, they are joined.
 MOST_BROADCAST_IDS = 500_000
