@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientbook.llm import minhash, mixing, url_lists, warc
+from clientbook.llm import line_crf, minhash, mixing, toxicity, url_lists, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_crf": line_crf.query,
         "op3_mixing": mixing.query,
         "op6_warc_revisits": warc.query,
+        "op8_toxicity": toxicity.query,
         "op9_minhash": minhash.query,
         "op10_url_lists": url_lists.query,
     }
