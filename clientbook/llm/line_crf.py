@@ -51,26 +51,30 @@ def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
     if not len(data):
         return np.zeros((0, N_FEATURES)), np.zeros(0)
-    breaks = np.flatnonzero(data == 10)
-    starts, ends = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(data)]))
-    filled = ends > starts
-    starts, ends = starts[filled], ends[filled]
-    if not len(starts):
-        return np.zeros((0, N_FEATURES)), np.zeros(0)
-    size = (ends - starts).astype(float)
+    is_break = data == 10
+    starts = np.concatenate(([0], np.flatnonzero(is_break) + 1))
+    ends = np.concatenate((starts[1:] - 1, [len(data)]))
     counts = np.zeros((len(starts), 7))
     words, same = np.zeros(len(starts)), np.zeros(len(starts))
+    first = 0
     for at in range(0, len(data), _PIECE):  # bounds the memory that one long text takes
         piece = data[at : at + _PIECE]
-        line = np.searchsorted(starts, np.arange(at, at + len(piece)), side="right") - 1
-        cells = np.bincount(np.maximum(line, 0) * 7 + _CLASS[piece], minlength=7 * len(starts))
-        counts += cells[: 7 * len(starts)].reshape(-1, 7)
+        line = np.cumsum(is_break[at : at + _PIECE])
+        last = first + int(line[-1])
+        here = slice(first, last + 1)
+        counts[here] += np.bincount(line * 7 + _CLASS[piece], minlength=7 * (last + 1 - first)).reshape(-1, 7)
         hashes, where = word_hashes(piece, np.zeros(1, np.int64))
         if len(hashes):
-            of = np.maximum(line[where], 0)
-            words += np.bincount(of, minlength=len(starts))
+            of = line[where]
+            words[here] += np.bincount(of, minlength=last + 1 - first)
             again = (hashes[1:] == hashes[:-1]) & (of[1:] == of[:-1])
-            same += np.bincount(of[1:][again], minlength=len(starts))
+            same[here] += np.bincount(of[1:][again], minlength=last + 1 - first)
+        first = last
+    filled = ends > starts
+    if not filled.any():
+        return np.zeros((0, N_FEATURES)), np.zeros(0)
+    size, counts = (ends - starts)[filled].astype(float), counts[filled]
+    words, same = words[filled], same[filled]
     letters = np.maximum(counts[:, 1] + counts[:, 2], 1)
     own = np.column_stack(
         [
@@ -97,17 +101,16 @@ class Model:
     scale: float
     shift: float
 
-    def quality(self, text: str | None) -> float | None:
-        """Length-weighted mean of the lines' marginals of being good; None without lines."""
-        features, size = line_features(text)
-        if not len(size):
-            return None
+    def quality(self, features: np.ndarray, size: np.ndarray) -> float:
+        """Length-weighted mean of the lines' marginals of being good."""
         good = marginals(features @ np.array(self.weights), self.transitions)
         return float((good * size).sum() / size.sum())
 
     def score(self, text: str | None) -> float:
-        quality = self.quality(text)
-        return EMPTY if quality is None else float(sigmoid(self.scale * quality + self.shift))
+        features, size = line_features(text)
+        if not len(size):
+            return EMPTY
+        return float(sigmoid(self.scale * self.quality(features, size) + self.shift))
 
 
 def marginals(odds: np.ndarray, transitions) -> np.ndarray:
@@ -169,8 +172,9 @@ def fit(texts: list[str | None], quality: list[int], steps: int = 120, most_line
 
     Without both classes every text gets the score of the share of good ones.
     """
-    rows = [(line_features(t), y) for t, y in zip(texts, quality, strict=True)]
-    rows = [(x[:most_lines], size[:most_lines], y) for (x, size), y in rows if len(size)]
+    whole = [(line_features(t), y) for t, y in zip(texts, quality, strict=True)]
+    whole = [(x, size, y) for (x, size), y in whole if len(size)]
+    rows = [(x[:most_lines], size[:most_lines], y) for x, size, y in whole]
     y = np.array([r[2] for r in rows], dtype=np.int64)
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
@@ -204,7 +208,7 @@ def fit(texts: list[str | None], quality: list[int], steps: int = 120, most_line
         w, *moments[:2] = _adam(w, *moments[:2], grad, step, 0.05)
         trans, *moments[2:] = _adam(trans, *moments[2:], grad_trans, step, 0.05)
     plain = Model(tuple(w.tolist()), tuple(map(tuple, trans.tolist())), 1.0, 0.0)
-    found = np.array([plain.quality(t) for t in texts if len(line_features(t)[1])])
+    found = np.array([plain.quality(x, size) for x, size, _ in whole])
     return Model(plain.weights, plain.transitions, *calibrated(found, y))
 
 
