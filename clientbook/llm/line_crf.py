@@ -167,7 +167,7 @@ def _expected(odds: np.ndarray, trans: np.ndarray, live: np.ndarray) -> tuple[np
     return good, pairs
 
 
-def fit(texts: list[str | None], quality: list[int], steps: int = 120, most_lines: int = 64) -> Model:
+def fit(texts: list[str | None], quality: list[int], steps: int = 60, most_lines: int = 32) -> Model:
     """Learn from labelled texts, of each at most ``most_lines`` lines.
 
     Without both classes every text gets the score of the share of good ones.
@@ -205,8 +205,8 @@ def fit(texts: list[str | None], quality: list[int], steps: int = 120, most_line
         good, pairs = _expected(odds, trans, live)
         grad = x.T @ (good[of, place] - label) / len(label) + 1e-4 * w
         grad_trans = (pairs - truth) / len(label) + 1e-3 * trans
-        w, *moments[:2] = _adam(w, *moments[:2], grad, step, 0.05)
-        trans, *moments[2:] = _adam(trans, *moments[2:], grad_trans, step, 0.05)
+        w, *moments[:2] = _adam(w, *moments[:2], grad, step)
+        trans, *moments[2:] = _adam(trans, *moments[2:], grad_trans, step)
     plain = Model(tuple(w.tolist()), tuple(map(tuple, trans.tolist())), 1.0, 0.0)
     found = np.array([plain.quality(x, size) for x, size, _ in whole])
     return Model(plain.weights, plain.transitions, *calibrated(found, y))

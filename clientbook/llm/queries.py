@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientbook.llm import line_crf, minhash, mixing, toxicity, url_lists, warc
+from clientbook.llm import bpe, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,7 +15,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_line_crf": line_crf.query,
         "op3_mixing": mixing.query,
+        "op4_bpe": bpe.query,
         "op6_warc_revisits": warc.query,
+        "op7_token_files": token_files.query,
         "op8_toxicity": toxicity.query,
         "op9_minhash": minhash.query,
         "op10_url_lists": url_lists.query,
