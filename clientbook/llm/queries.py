@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientbook.llm import bpe, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc
+from clientbook.llm import bpe, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_line_crf": line_crf.query,
+        "op2_winnowing": winnowing.query,
         "op3_mixing": mixing.query,
         "op4_bpe": bpe.query,
         "op6_warc_revisits": warc.query,
