@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientbook.llm import bpe, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc, winnowing
+from clientbook.llm import bpe, cross_polytope, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_winnowing": winnowing.query,
         "op3_mixing": mixing.query,
         "op4_bpe": bpe.query,
+        "op5_cross_polytope": cross_polytope.query,
         "op6_warc_revisits": warc.query,
         "op7_token_files": token_files.query,
         "op8_toxicity": toxicity.query,
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_mixing": mixing.SQL,
+        "op5_cross_polytope": cross_polytope.SQL,
         "op6_warc_revisits": warc.SQL,
         "op9_minhash": minhash.SQL,
         "op10_url_lists": url_lists.SQL,
