@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clientbook.llm.common import is_held_out, slices, uniform
 
 #: Bounds of the training sample: documents per class, and characters of one document.
-MOST_PER_CLASS = 3000
+MOST_PER_CLASS = 2000
 MOST_CHARS = 20_000
 
 

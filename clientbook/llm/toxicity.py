@@ -15,6 +15,7 @@ in Arrow batches, one sentence at a time.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass
 
@@ -55,6 +56,14 @@ def _terms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in _BEGINNINGS if len(word) >= n)]
 
 
+class _Terms(dict):
+    """Word to all its terms; equal terms are one object, which keeps a sample's sentences small."""
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        self[word] = found = tuple(map(sys.intern, _terms(word)))
+        return found
+
+
 class _Known(dict):
     """Word to its known terms, worked out once per word; emptied when it gets large."""
 
@@ -139,9 +148,10 @@ def _fit_weights(x: _Rows, y, weight, swapped: _Rows, origin, width, ridge, fair
 
 def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds: int = 3) -> Model:
     """Learn from labelled texts. Without both classes the score is the share of toxic texts."""
+    terms_of = _Terms()
     split = [
         [
-            sorted({t for word in _WORD.findall(s) for t in _terms(word)})
+            tuple({t for word in _WORD.findall(s) for t in terms_of[word]})
             for s in _SENTENCE.split((text or "").lower())
             if s.strip()
         ]
@@ -167,7 +177,8 @@ def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds
     terms += sorted({o for t in terms for o in others.get(t, ())} - set(terms))
     at = {t: i for i, t in enumerate(terms)}
     width = len(terms)
-    ids = [[[at[t] for t in s if t in at] for s in sentences] for sentences in split]
+    ids = [[sorted(at[t] for t in s if t in at) for s in sentences] for sentences in split]
+    del split, terms_of
     # A term that many toxic documents share starts ahead of one that a few copies share.
     w = np.array([max(0.0, odds.get(t, 0.0)) * np.log1p(seen[1][t]) / np.log1p(n[1]) for t in terms])
     bias = -3.0
@@ -203,12 +214,12 @@ def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds
     return Model(model.weights, *calibrated(worst, toxic))
 
 
-def _without_near_copies(split: list[list[list[str]]]) -> list[int]:
+def _without_near_copies(split: list[list[tuple[str, ...]]]) -> list[int]:
     """Texts of which at least half the sentences are new; copies would count a text's words often."""
-    known: set[tuple[str, ...]] = set()
+    known: set[int] = set()
     kept = []
     for i, sentences in enumerate(split):
-        keys = {tuple(s) for s in sentences if s}
+        keys = {hash(frozenset(s)) for s in sentences if s}
         if not keys or 2 * len(keys & known) <= len(keys):
             kept.append(i)
         known |= keys
