@@ -23,7 +23,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Scale and shift of a logistic curve, both classes weighing the same."""
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-    scale = 1 / max(x.std(), 1e-6)
+    scale = 1 / x.std() if x.std() > 1e-6 else 0.0
     a, b = 2.0, 0.0
     z = (x - x.mean()) * scale
     for _ in range(2000):
