@@ -16,7 +16,8 @@ _PENNY = Decimal("0.01")
 
 
 def to_pennies(amount: Column) -> Column:
-    return (amount * F.lit(100)).cast("bigint")
+    """Whole pennies; a double such as 0.29 is rounded, not cut to 28."""
+    return F.round(amount * F.lit(100), 0).cast("bigint")
 
 
 def whole(number: Column) -> Column:

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clientbook import config as c
 from clientbook.config import PortfolioConfig
 from clientbook.functions.money import from_pennies, ratio, share_pct, to_pennies
 from clientbook.functions.rules import on_scale
 from clientbook.operators.ranking import rank_and_accumulate, top_ranked
-from clientbook.operators.staging import staged
 
 
 def earners(book: DataFrame) -> DataFrame:
@@ -94,16 +92,3 @@ def ladder(book: DataFrame, slices: int | None = None, is_stored: bool = False)
     return _with_shares(
         rank_and_accumulate(rungs(book), "revenue_ltm", "customer_id", slices, is_stored)
     )
-
-
-def top_of_ladder(book: DataFrame, n: int, is_stored: bool = False) -> DataFrame:
-    """The first ``n`` rungs only: no sort of the rest, just its total."""
-    earning = rungs(book) if is_stored else staged(rungs(book))
-    total = earning.agg(F.sum("revenue_ltm").alias("grand_total"))
-    so_far = Window.orderBy("revenue_rank").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    top = top_ranked(earning, "revenue_ltm", "customer_id", n).withColumn(
-        "cumulative", F.sum("revenue_ltm").over(so_far)
-    )
-    return _with_shares(top.crossJoin(total))

@@ -19,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     global _local_folder
     if _local_folder is None:

@@ -18,13 +18,18 @@ def _mean(column: str, digits: int, kind: str) -> Column:
     return F.round(total / F.count(column), digits).cast(kind)
 
 
-def rank_cliff(book: Portfolio, depth: int = max(c.CONCENTRATION_TIERS)) -> DataFrame:
-    """How far revenue drops from one rank to the next within the top ranks."""
-    top = ranking.top_ranked(book.ltm_revenue(), "revenue_ltm", "customer_id", depth)
-    following = F.lead("revenue_ltm").over(Window.orderBy("revenue_rank"))  # depth rows only
+def rank_cliff(book: Portfolio, depth: int | None = None) -> DataFrame:
+    """How far revenue drops from each rank to the next, down to rank ``depth`` if one is given."""
+    ranked = ranking.rank_and_accumulate(
+        book.ltm_revenue(), "revenue_ltm", "customer_id", is_stored=book.is_stored
+    ).select("revenue_rank", "customer_id", "revenue_ltm")
+    following = ranked.select(
+        (F.col("revenue_rank") - 1).alias("revenue_rank"),
+        F.col("revenue_ltm").alias("next_revenue"),
+    )
+    upper = ranked if depth is None else ranked.filter(F.col("revenue_rank") <= depth)
     return (
-        top.withColumn("next_revenue", following)
-        .filter(F.col("next_revenue").isNotNull())
+        upper.join(following, "revenue_rank")
         .select(
             "revenue_rank",
             "customer_id",

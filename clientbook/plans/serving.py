@@ -131,15 +131,22 @@ def top_customers(book: Portfolio, n: int = 20) -> DataFrame:
     return views.top_of_ladder(book, n)
 
 
-def top_customers_chart(book: Portfolio, n: int = 10) -> DataFrame:
-    """Largest customers in ascending order with short labels, ready to draw as bars."""
+def top_customers_chart(book: Portfolio, n: int = 10, label_chars: int = 28) -> DataFrame:
+    """The ``n`` largest listed customers in ascending order, ready to draw as bars.
+
+    The label is the beginning of the name, ``label_chars`` long at most.
+    """
     rows = concentration.rungs(views.ladder_source(book))
+    ranked = ranking.rank_and_accumulate(
+        rows, "revenue_ltm", "customer_id", is_stored=book.is_stored
+    )
     return (
-        ranking.top_ranked(rows, "revenue_ltm", "customer_id", n)
-        .filter("is_listed")
+        ranked.filter("is_listed")
+        .orderBy("revenue_rank")
+        .limit(n)
         .select(
-            "revenue_rank",
-            F.substring("customer_name", 1, 28).alias("label"),
+            F.col("revenue_rank").cast("int").alias("revenue_rank"),
+            F.substring("customer_name", 1, label_chars).alias("label"),
             "revenue_ltm",
             "health_category",
         )

@@ -2,7 +2,7 @@
 
 The transactions are read once. The scored book is written first; every fact is derived from
 the stored book, so a lost executor or a failed fact never repeats the big scan. Writing the
-same date again replaces that date's partition and leaves the others alone.
+same date again replaces that date's partition of every table and leaves the others alone.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientbook.config import PortfolioConfig
+from clientbook.operators.staging import staged
 from clientbook.plans.portfolio import Portfolio
 from clientbook.plans.quality import require_non_empty
 from clientbook.sources.csv_files import path_exists
@@ -31,39 +32,38 @@ FACTS = {
 _DATE = "snapshot_date"
 
 
-def publish(df: DataFrame, path: str, partition: str = _DATE) -> None:
-    """Replace exactly the partitions present in ``df``."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+def publish(df: DataFrame, path: str, day: str, partition: str = _DATE) -> None:
+    """Replace the partition of ``day``, also if ``df`` has no rows."""
+    df.drop(partition).write.mode("overwrite").parquet(os.path.join(path, f"{partition}={day}"))
 
 
 def is_published(spark: SparkSession, root: str, cfg: PortfolioConfig) -> bool:
-    """True if every table holds this date. Facts without rows leave no partition, so the
-    one-row KPI fact, which is written last, stands for a finished run."""
+    """True if a run of this date has finished: its KPI row is withdrawn first and written last."""
     day = cfg.snapshot_date.isoformat()
-    return all(
-        path_exists(spark, os.path.join(root, table, f"{_DATE}={day}"))
-        for table in (BOOK, "fct_customer_360", "fct_executive_kpis")
-    )
+    kpis = os.path.join(root, "fct_executive_kpis", f"{_DATE}={day}")
+    return path_exists(spark, kpis) and not spark.read.parquet(kpis).isEmpty()
 
 
 def run_snapshot(book: Portfolio, root: str, overwrite: bool = True) -> Portfolio:
-    """Build and publish all facts; with ``overwrite=False`` a finished date is left alone."""
+    """Build and publish all facts; with ``overwrite=False`` a finished date is left alone.
+
+    The new book is staged and checked before anything of the date is replaced, so a run over
+    empty inputs leaves what is stored. A run that fails later leaves the date unpublished.
+    """
     spark, cfg = book.spark, book.cfg
+    day = cfg.snapshot_date.isoformat()
     if not overwrite and is_published(spark, root, cfg):
         return open_snapshot(spark, root, cfg)
-    publish(book.book, os.path.join(root, BOOK))
+    fresh = staged(book.book)
+    require_non_empty(Portfolio.from_book(fresh, cfg).customer_360(), "fct_customer_360")
+    kpis = os.path.join(root, "fct_executive_kpis")
+    if is_published(spark, root, cfg):
+        shown = spark.read.parquet(os.path.join(kpis, f"{_DATE}={day}")).schema
+        publish(spark.createDataFrame([], shown), kpis, day)
+    publish(fresh, os.path.join(root, BOOK), day)
     stored = open_snapshot(spark, root, cfg, book.book.schema)
-    require_non_empty(stored.customer_360(), "fct_customer_360")
     for table, build in FACTS.items():
-        fact = build(stored)
-        if _DATE not in fact.columns:  # alerts carry the same date as their detection date
-            fact = fact.withColumn(_DATE, F.col("detected_date"))
-        publish(fact, os.path.join(root, table))
+        publish(build(stored), os.path.join(root, table), day)
     if not is_published(spark, root, cfg):
         raise RuntimeError(f"snapshot {cfg.snapshot_date} is incomplete under {root}")
     return stored

@@ -112,8 +112,8 @@ def concentration_ladder(book: Portfolio, slices: int | None = None) -> DataFram
 
 
 def top_of_ladder(book: Portfolio, n: int) -> DataFrame:
-    """The first ``n`` ranks of the same ladder."""
-    return _ladder_layout(concentration.top_of_ladder(ladder_source(book), n, book.is_stored))
+    """The first ``n`` listed customers of the same ladder, with their ranks among all earners."""
+    return concentration_ladder(book).limit(n)
 
 
 def health_heatmap(book: Portfolio) -> DataFrame:

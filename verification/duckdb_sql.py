@@ -514,7 +514,7 @@ def oracle_sql() -> dict[str, str]:
         "rank_cliff": _select(
             following,
             f"r > revenue_rank#; {sums}; {_units('nxt', 2)} > next_revenue~; {_units(_half_up('(ltm_p * 100)', 'nullif(nxt, 0)'), 2)} > drop_factor~",
-            "r < 50 AND nxt IS NOT NULL",
+            "nxt IS NOT NULL",
         ),
         # actions
         "rm_actions": _select("acted", _ACTION),
