@@ -34,6 +34,15 @@ class Memo(dict):
         super().__init__()
         self.encode, self.most, self.longest, self.old = encode, most, longest, {}
 
+    def learn(self, pieces: set[str]) -> None:
+        """Encode the unknown ones of some pieces in one call of ``encode_all``."""
+        new = [p for p in pieces if p not in self and p not in self.old and len(p) <= self.longest]
+        if new:
+            if len(self) + len(new) > self.most:
+                self.old = dict(self)
+                self.clear()
+            self.update(zip(new, self.encode_all(new), strict=True))
+
     def __missing__(self, piece: str):
         found = self.old.get(piece)
         if found is None:

@@ -9,6 +9,7 @@ Reading only metadata touches two narrow columns.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,15 +40,18 @@ _encoders: dict[str, Memo] = {}
 def _encoder(model: str, key: str) -> Memo:
     """Piece to its ids as little-endian 32-bit integers; kept while the worker lives."""
     if key not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(model)
         tokenizer.encode_special_tokens = True
 
-        def encode(piece: str) -> bytes:
-            return np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        def encode_all(pieces: list[str]) -> list[bytes]:
+            found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+            return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-        _encoders[key] = Memo(encode)
+        _encoders[key] = Memo(lambda piece: encode_all([piece])[0], most=400_000)
+        _encoders[key].encode_all = encode_all
     return _encoders[key]
 
 
@@ -61,10 +65,9 @@ def tokenized(documents: DataFrame, model_path: str) -> DataFrame:
         known = _encoder(shared.value, model_path)
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [
-                    b"".join(map(known.__getitem__, segments(text or ""))) + end
-                    for text in part.column(1).to_pylist()
-                ]
+                cut = [segments(text or "") for text in part.column(1).to_pylist()]
+                known.learn({piece for pieces in cut for piece in pieces})
+                rows = [b"".join(map(known.__getitem__, pieces)) + end for pieces in cut]
                 counts = np.array([len(row) // 4 for row in rows], dtype=np.int64)
                 at = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(rows), dtype="<i4"))
