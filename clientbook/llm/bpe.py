@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding.
 
-Each task folds the ranked merges over the bytes of the distinct pieces of its texts (a bounded
-memo holds them) with the rank table as a literal map of its closure, about 50,000 entries; ids
+Each Python worker folds the ranked merges over the bytes of the distinct pieces of its texts (a
+bounded memo holds them from task to task) with the rank table as a literal map of its closure, about 50,000 entries; ids
 of a text are looked up piece by piece. Decoding concatenates the binary pieces of the ids.
 """
 
@@ -72,16 +72,28 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
+_codecs: dict = {}
+
+
+def _codec(shared, name: str, pattern: str) -> Codec:
+    """The codec of a rank table (``name`` is its digest), kept with its memo while the worker lives."""
+    key = (name, pattern)
+    if key not in _codecs:
+        _codecs.clear()  # one memo per worker bounds its memory
+        _codecs[key] = Codec(shared.value, pattern)
+    return _codecs[key]
+
+
 def encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """``documents`` with ``bpe_ids``, an array of int; a null text has none.
 
     Other columns are kept; the name ``bpe_ids`` is for the operator.
     """
     schema = documents.withColumn("bpe_ids", F.array().cast("array<int>")).schema
-    names, shared = [*documents.columns, "bpe_ids"], _shared(documents.sparkSession, ranks)
+    names, (shared, name) = [*documents.columns, "bpe_ids"], _shared(documents.sparkSession, ranks)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value, pattern)
+        codec = _codec(shared, name, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = part.column(part.schema.get_field_index("text"))
@@ -93,7 +105,7 @@ def encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> Data
 
 def decoded(encoded_documents: DataFrame, ranks: dict[bytes, int], ids: str = "bpe_ids") -> DataFrame:
     """The frame with ``bpe_bytes``, the concatenated pieces of each row's ids."""
-    names, shared = [*encoded_documents.columns, "bpe_bytes"], _shared(encoded_documents.sparkSession, ranks)
+    names, (shared, _) = [*encoded_documents.columns, "bpe_bytes"], _shared(encoded_documents.sparkSession, ranks)
     schema = encoded_documents.withColumn("bpe_bytes", F.lit(None).cast("binary")).schema
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,19 +123,20 @@ _broadcasts: dict = {}
 
 
 def _shared(spark: SparkSession, ranks: dict[bytes, int]):
-    """One broadcast per session and table."""
-    key = (spark.sparkContext.applicationId, id(ranks))
+    """One broadcast per application and table, and the table's digest."""
+    name = hashlib.sha256(repr(list(ranks.items())).encode()).hexdigest()
+    key = (spark.sparkContext.applicationId, name)
     if key not in _broadcasts:
         _broadcasts[key] = spark.sparkContext.broadcast(ranks)
-    return _broadcasts[key]
+    return _broadcasts[key], name
 
 
 def digests(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each whole text, by both directions."""
-    shared = _shared(documents.sparkSession, ranks)
+    shared, name = _shared(documents.sparkSession, ranks)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value, pattern)
+        codec = _codec(shared, name, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
                 counts, ids_hash, bytes_hash = [], [], []
