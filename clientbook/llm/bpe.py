@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientbook.llm.common import slices, table
-from clientbook.llm.segments import Memo, segments
+from clientbook.llm.segments import Memo, segments, word_and_rest
 
 
 def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -59,14 +60,26 @@ class Codec:
         self.ranks = ranks
         self.match = regex.compile(pattern)
         self.pieces = {rank: token for token, rank in ranks.items()}
-        self.known = Memo(self._encode, most)
+        self.known, self.words = Memo(self._pieces, most), Memo(self._words, most)
+        self.rests = Memo(self._rests, most // 2)
 
-    def _encode(self, piece: str) -> tuple[int, ...]:
-        return tuple(i for m in self.match.findall(piece) for i in fold(m.encode("utf-8"), self.ranks))
+    def _words(self, words: list[str]) -> list[tuple[int, ...]]:
+        return [tuple(fold(word.encode("utf-8"), self.ranks)) for word in words]
+
+    def _rests(self, rests: list[str]) -> list[tuple[int, ...]]:
+        cut = map(self.match.findall, rests)
+        return [tuple(i for m in found for i in fold(m.encode("utf-8"), self.ranks)) for found in cut]
+
+    def _pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        cut = [word_and_rest(piece) for piece in pieces]
+        self.words.learn({word for word, _ in cut})
+        self.rests.learn({rest for _, rest in cut})
+        return [self.words[word] + self.rests[rest] for word, rest in cut]
 
     def encode(self, text: str | None) -> list[int]:
-        known = self.known
-        return [i for piece in segments(text or "") for i in known[piece]]
+        known, pieces = self.known, segments(text or "")
+        known.learn(set(pieces))
+        return list(chain.from_iterable(map(known.__getitem__, pieces)))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))

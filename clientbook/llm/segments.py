@@ -13,6 +13,9 @@ from collections.abc import Callable
 # A space inside a longer run of white space, which the plain cut would split.
 _RUN = re.compile(r"\s (?:\s|\Z)|\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+# A word that ends its piece or stands before an ASCII character that is no letter: a match of its own.
+_WORD = re.compile(rf" ?[{LATIN}]+(?=[\x00-@\[-`{{-\x7f]|\Z)")
 
 
 def segments(text: str) -> list[str]:
@@ -24,33 +27,47 @@ def segments(text: str) -> list[str]:
     return [first, *pieces] if first else pieces
 
 
+def word_and_rest(piece: str) -> tuple[str, str]:
+    """The word a piece begins with, and what follows; encodings of both joined are the piece's.
+
+    Words with some punctuation after them are many; words, and what follows them, are few. The
+    word is empty where the piece does not begin with one plain Latin word.
+    """
+    found = _WORD.match(piece)
+    end = found.end() if found else 0
+    return piece[:end], piece[end:]
+
+
 class Memo(dict):
-    """What ``encode`` makes of a piece, worked out once while it is kept.
+    """What ``encode`` makes of each of a list of pieces, worked out once while it is kept.
 
     Two generations bound the memory: when the young one is full it replaces the old one.
+    Pieces over ``longest`` characters are not kept.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], most: int = 200_000, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 200_000, longest: int = 64):
         super().__init__()
         self.encode, self.most, self.longest, self.old = encode, most, longest, {}
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode the unknown ones of some pieces in one call of ``encode_all``."""
-        new = [p for p in pieces if p not in self and p not in self.old and len(p) <= self.longest]
+        """Encode the unknown ones of some pieces in one call."""
+        old, longest = self.old, self.longest
+        new = [p for p in pieces if p not in self and p not in old and len(p) <= longest]
         if new:
-            if len(self) + len(new) > self.most:
-                self.old = dict(self)
-                self.clear()
-            self.update(zip(new, self.encode_all(new), strict=True))
+            self._make_room(len(new))
+            self.update(zip(new, self.encode(new), strict=True))
+
+    def _make_room(self, more: int) -> None:
+        if len(self) + more > self.most:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, piece: str):
         found = self.old.get(piece)
         if found is None:
-            found = self.encode(piece)
+            (found,) = self.encode([piece])
             if len(piece) > self.longest:
                 return found
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
+        self._make_room(1)
         self[piece] = found
         return found

@@ -10,8 +10,10 @@ Reading only metadata touches two narrow columns.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientbook.llm.common import slices, table
-from clientbook.llm.segments import Memo, segments
+from clientbook.llm.segments import LATIN, Memo, segments, word_and_rest
 from clientbook.operators.staging import shared_folder
 
 END = 0
@@ -38,20 +40,36 @@ _encoders: dict[str, Memo] = {}
 
 
 def _encoder(model: str, key: str) -> Memo:
-    """Piece to its ids as little-endian 32-bit integers; kept while the worker lives."""
+    """Piece to its ids as little-endian 32-bit integers; kept while the worker lives.
+
+    A plain word is one match of the tokenizer's pattern, so its spelling in the byte alphabet goes
+    to the tokenizer's model at once; everything else goes through the whole tokenizer.
+    """
     if key not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(model)
         tokenizer.encode_special_tokens = True
+        merges, spell = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        alphabet = {i: spell(chr(i))[0][0] for i in range(0x20, 0x250) if re.match(f"[ {LATIN}]", chr(i))}
+
+        def encode_words(words: list[str]) -> list[bytes]:
+            return [array("I", [x.id for x in merges(word.translate(alphabet))]).tobytes() for word in words]
+
+        def encode_rests(rests: list[str]) -> list[bytes]:
+            found = tokenizer.encode_batch_fast(rests, add_special_tokens=False)
+            return [array("I", x.ids).tobytes() for x in found]
+
+        words, rests = Memo(encode_words, most=300_000), Memo(encode_rests, most=100_000)
 
-        def encode_all(pieces: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        def encode_pieces(pieces: list[str]) -> list[bytes]:
+            cut = [word_and_rest(piece) for piece in pieces]
+            words.learn({word for word, _ in cut})
+            rests.learn({rest for _, rest in cut})
+            return [words[word] + rests[rest] for word, rest in cut]
 
-        _encoders[key] = Memo(lambda piece: encode_all([piece])[0], most=400_000)
-        _encoders[key].encode_all = encode_all
+        _encoders[key] = Memo(encode_pieces)
     return _encoders[key]
 
 
