@@ -114,13 +114,14 @@ def read_ids(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -
     return stored if doc_ids is None else stored.filter(F.col("doc_id").isin(doc_ids))
 
 
-def with_starts(read: DataFrame) -> DataFrame:
+def with_starts(read: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Adds ``start``, the number of ids of all documents before, from the columns of ``read``.
 
-    ``read`` has doc_id, n_tokens, file and place (in the file). Sums are per file, then over the
-    one-row-per-file totals, so no task sees all documents.
+    ``read`` has doc_id, n_tokens, file and place (in the file); ``sizes`` has the first three as
+    stored, so that the totals read two narrow columns and no ids. Sums are per file, then over
+    the one-row-per-file totals, so no task sees all documents.
     """
-    files = read.groupBy("file").agg(F.min("doc_id").alias("least"), F.sum("n_tokens").alias("total"))
+    files = (read if sizes is None else sizes).groupBy("file").agg(F.min("doc_id").alias("least"), F.sum("n_tokens").alias("total"))
     order = Window.orderBy(F.col("least").asc_nulls_first(), "file")
     before = F.sum("total").over(order.rowsBetween(Window.unboundedPreceding, -1))
     offsets = files.select("file", F.coalesce(before, F.lit(0)).alias("offset"))
@@ -161,4 +162,4 @@ def query(spark, folder: str) -> DataFrame:
     stored = read_ids(spark, path).withColumns(
         {"file": F.col("_metadata.file_name"), "place": F.col("_metadata.row_index")}
     )
-    return with_starts(checksums(stored)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_starts(checksums(stored), stored).select("doc_id", "start", "n_tokens", "ids_crc32")
