@@ -53,29 +53,21 @@ def require_non_empty(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def pipeline_summary(book: Portfolio) -> DataFrame:
-    """Row counts of inputs and results. The customer-level ones come from one aggregate."""
-    staged = book.standing
-    listed = F.count_if("is_listed")
-    results = staged.agg(
-        listed.alias("scored"), F.sum(F.when(F.col("is_listed"), F.col("alerts"))).alias("alerts")
-    )
-    lines = F.array(
-        *[
-            F.struct(F.lit(label).alias("item"), F.coalesce(value, F.lit(0)).alias("row_count"))
-            for label, value in (
-                ("Customer 360 records", F.col("scored")),
-                ("Health-scored customers", F.col("scored")),
-                ("RM actions generated", F.col("scored")),
-                ("Exceptions detected", F.col("alerts")),
-                ("Executive KPI snapshots", F.lit(1).cast("bigint")),
-            )
-        ]
-    )
-    inputs = row_counts(
-        {
-            "Transactions loaded": book.transactions.select("customer_id"),
-            "Customers loaded": book.customers.select("customer_id"),
-        }
-    ).withColumnRenamed("table_name", "item")
-    return inputs.unionByName(results.select(F.inline(lines)))
+def pipeline_summary(book: Portfolio, facts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Row counts of the inputs and of the facts: those built already, or the book's own."""
+    lines = {
+        "Transactions loaded": book.transactions.select("customer_id"),
+        "Customers loaded": book.customers.select("customer_id"),
+    }
+    for table, (label, build) in _FACT_LINES.items():
+        lines[label] = build(book) if facts is None else facts[table]
+    return row_counts(lines).withColumnRenamed("table_name", "item")
+
+
+_FACT_LINES = {
+    "fct_customer_360": ("Customer 360 records", Portfolio.customer_360),
+    "fct_customer_health": ("Health-scored customers", Portfolio.customer_health),
+    "fct_rm_actions": ("RM actions generated", Portfolio.rm_actions),
+    "fct_exceptions": ("Exceptions detected", Portfolio.exceptions),
+    "fct_executive_kpis": ("Executive KPI snapshots", Portfolio.executive_kpis),
+}

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from clientbook import config as c
 from clientbook.config import STAR_SCHEMA_CONFIG, PortfolioConfig
-from clientbook.operators.staging import shared_folder, staged
+from clientbook.operators.staging import shared_folder
 from clientbook.plans import findings, quality, serving, snapshot, views
 from clientbook.plans.portfolio import Portfolio
 from clientbook.schemas import KEYS, TRANSACTIONS, conform
@@ -63,65 +63,40 @@ def _inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def _key_check(spark: SparkSession, folder: str) -> DataFrame:
+def _built(spark: SparkSession, folder: str) -> tuple[str, PortfolioConfig]:
+    """Publish every fact into a fresh folder; returns the folder."""
+    root = os.path.join(shared_folder(spark), f"snapshot-{uuid.uuid4().hex}")
     book = open_star_schema(spark, folder)
-    stored = Portfolio.from_book(
-        staged(
-            book.book.select(
-                "customer_id",
-                "is_listed",
-                "action_id",
-                "relationship_manager",
-                "segment",
-                "prior_segment",
-                "segment_change",
-                "health_category",
-                "health_trend",
-                "revenue_90d",
-                "revenue_prior_90d",
-                "revenue_delta_pct",
-                "txn_delta_pct",
-                "txn_count_90d",
-                "txn_count_prior_90d",
-            )
-        ),
-        book.cfg,
-    )
-    keys = {name: (df, key) for name, df, key in _keyed(spark, folder)}
-    for fact in ("fct_customer_360", "fct_customer_segments", "fct_customer_health"):
-        keys[fact] = (stored.profile, "customer_id")
-    keys["fct_rm_actions"] = (stored.profile, "action_id")
-    keys["fct_exceptions"] = (stored.alerts, "exception_id")
-    return quality.primary_keys(keys)
-
-
-def _keyed(spark: SparkSession, folder: str):
-    for name, df in _inputs(spark, folder).items():
-        yield name, df.select(KEYS[name]), KEYS[name]
-
-
-def _non_empty(book: Portfolio) -> DataFrame:
-    results = book.standing.filter("is_listed")
-    facts = {
-        name: results
-        for name in (
-            "fct_customer_360",
-            "fct_customer_segments",
-            "fct_customer_health",
-            "fct_rm_actions",
-        )
-    }
-    alerts = results.select(F.explode(F.array_repeat(F.lit(1), F.col("alerts").cast("int"))))
-    return quality.non_empty({**facts, "fct_exceptions": alerts})
+    snapshot.run_snapshot(book, root)
+    return root, book.cfg
+
+
+def _facts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The facts as stored by a run, each a table of its own."""
+    root, cfg = _built(spark, folder)
+    return {name: snapshot.read_fact(spark, root, name, cfg) for name in snapshot.FACTS}
+
+
+def _key_check(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _inputs(spark, folder) | _facts(spark, folder)
+    return quality.primary_keys({name: (df.select(KEYS[name]), KEYS[name]) for name, df in tables.items()})
+
+
+def _non_empty(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.non_empty(_facts(spark, folder))
+
+
+def _summary(spark: SparkSession, folder: str) -> DataFrame:
+    book = open_star_schema(spark, folder, with_product=False, with_region=False)
+    return quality.pipeline_summary(book, _facts(spark, folder))
 
 
 def _published(spark: SparkSession, folder: str) -> DataFrame:
-    """Publish twice into a fresh folder and read the customer fact back."""
-    root = os.path.join(shared_folder(spark), f"snapshot-{uuid.uuid4().hex}")
+    """Publish, find the date finished the second time, and read the customer fact back."""
+    root, cfg = _built(spark, folder)
     book = open_star_schema(spark, folder)
-    snapshot.run_snapshot(book, root)
     snapshot.run_snapshot(book, root, overwrite=False)
-    stored = snapshot.read_fact(spark, root, "fct_customer_360", book.cfg)
+    stored = snapshot.read_fact(spark, root, "fct_customer_360", cfg)
     return stored.select(*[field.name for field in book.customer_360().schema.fields])
 
 
@@ -196,8 +171,6 @@ _PROFILE_QUERIES: dict[str, Callable[[Portfolio], DataFrame]] = {
     "early_warning": findings.early_warning,
     "trend_shares": findings.trend_shares,
     "p1_shortfall": findings.p1_shortfall,
-    "pipeline_summary": quality.pipeline_summary,
-    "dq_non_empty": _non_empty,
 }
 
 # These need no product: the transactions are read without the join to the parts.
@@ -234,11 +207,13 @@ _TABLE_QUERIES: dict[str, Query] = {
     ).drop("rm_grade"),
     "validate_inputs": lambda spark, folder: quality.row_counts(_inputs(spark, folder)),
     "dq_primary_keys": _key_check,
+    "dq_non_empty": _non_empty,
+    "pipeline_summary": _summary,
     "publish": _published,
 }
 
 
-# Of the queries over a portfolio, these alone show the region.
+# Of the queries over a portfolio, these alone show the region; the others open customers without it.
 _REGION_QUERIES = {
     "customer_watchlist",
     "rm_workbook",

@@ -51,14 +51,15 @@ def customers(
 
     The onboarding date costs a pass over the orders and the region two small lookups; both
     are optional, because an outer join stays in the plan even if its columns are not used.
+    Without the region there is no such column, so a view that shows it fails.
     """
     listed = read_table(spark, folder, "customer")
-    region = first_order = F.lit(None)
+    region, first_order = [], F.lit(None)
     if with_region:
         nations, regions = read_table(spark, folder, "nation"), read_table(spark, folder, "region")
         places = nations.join(regions, nations.n_regionkey == regions.r_regionkey, "left")
         listed = listed.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        region = F.col("r_name")
+        region = [F.col("r_name").alias("region")]
     if with_onboarding:
         firsts = (
             read_table(spark, folder, "orders")
@@ -73,7 +74,7 @@ def customers(
         F.col("c_mktsegment").alias("customer_type"),
         first_order.cast("date").alias("onboarding_date"),
         _manager_id("c_nationkey").alias("relationship_manager"),
-        region.cast("string").alias("region"),
+        *region,
         F.lit(1).alias("is_active"),
     )
 
@@ -105,17 +106,17 @@ def transactions(spark: SparkSession, folder: str, with_product: bool = True) ->
 
     The date is a plain cast of the order date, which the scan of the orders can still turn
     into a pushed-down range. Leave the product out when a query does not need it: an outer
-    join is not removed by the optimiser. No join side is forced to be broadcast; whether the
+    join is not removed by the optimiser. There is then no such column, so product depth fails. No join side is forced to be broadcast; whether the
     parts are small enough is decided from their measured size.
     """
     lines = read_table(spark, folder, "lineitem")
     orders = read_table(spark, folder, "orders")
     facts = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    product = F.lit(None).cast("string")
+    product = []
     if with_product:
         parts = read_table(spark, folder, "part").select("p_partkey", "p_type")
         facts = facts.join(parts, facts.l_partkey == parts.p_partkey, "left")
-        product = F.col("p_type")
+        product = [F.col("p_type").alias("product_id")]
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
     fee = F.round(price * discount * F.lit(FEE_RATE), 2)
@@ -127,7 +128,7 @@ def transactions(spark: SparkSession, folder: str, with_product: bool = True) ->
     return facts.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
-        product.alias("product_id"),
+        *product,
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.col("l_returnflag").alias("transaction_type"),
         F.col("o_orderpriority").alias("channel"),

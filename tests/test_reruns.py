@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
+from pyspark.errors import AnalysisException
 
-from clientbook.plans import findings, serving, snapshot
-from tests.conftest import CFG, portfolio, txn
+from clientbook.plans import findings, registry, serving, snapshot, views
+from tests.conftest import CFG, DATA, portfolio, txn
 
 
 def _alerting():
@@ -62,3 +65,14 @@ def test_rank_cliff_covers_every_rank(spark):
     found = findings.rank_cliff(portfolio(spark, rows))
     assert found.count() == 59
     assert findings.rank_cliff(portfolio(spark, rows), depth=5).count() == 5
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the given tables")
+def test_left_out_columns_are_missing_not_null(spark):
+    bare = registry.open_star_schema(spark, DATA, with_product=False, with_region=False)
+    assert "product_id" not in bare.transactions.columns and "region" not in bare.customers.columns
+    with pytest.raises(AnalysisException):
+        bare.customer_360()
+    with pytest.raises(AnalysisException):
+        views.customer_watchlist(registry.open_star_schema(spark, DATA, with_region=False))
+    assert bare.customer_segments().count() > 0

@@ -397,6 +397,8 @@ _KEY_CHECKS = [
     ("fct_customer_health", "acted", "customer_id"),
     ("fct_rm_actions", "acted", "action_id"),
     ("fct_exceptions", "alerts", "exception_id"),
+    ("fct_concentration", "tiers", "'one day'"),
+    ("fct_executive_kpis", "tiers", "'one day'"),
 ]
 _OK = ", CAST(count(*) > 0 AS BIGINT) AS is_ok"
 
@@ -454,6 +456,8 @@ def oracle_sql() -> dict[str, str]:
                 ("fct_customer_health", "scored"),
                 ("fct_rm_actions", "acted"),
                 ("fct_exceptions", "alerts"),
+                ("fct_concentration", "tiers"),
+                ("fct_executive_kpis", "tiers"),
             )
         ),
         "publish": _select("acted", _360),
