@@ -124,7 +124,9 @@ class Portfolio:
         )
 
     def channel_usage(self) -> DataFrame:
-        return activity.current_usage(self.transactions, self.cfg).select(
+        # Channels need no product, whether or not the transactions have one.
+        facts = self.transactions.withColumn("product_id", F.lit(None).cast("string"))
+        return activity.current_usage(facts, self.cfg).select(
             "customer_id",
             F.col("txn_count_90d").alias("total_txns_90d"),
             F.col("digital_txns").alias("digital_txns_90d"),

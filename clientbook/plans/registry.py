@@ -213,13 +213,18 @@ _TABLE_QUERIES: dict[str, Query] = {
 }
 
 
-# Of the queries over a portfolio, these alone show the region; the others open customers without it.
+# Of the queries over a portfolio, these alone go through views that show the region; the others open customers without it.
 _REGION_QUERIES = {
     "customer_watchlist",
     "rm_workbook",
     "rm_workbook_by_manager",
     "customer_explorer",
     "customer_explorer_filtered",
+    "explorer_kpis",
+    "explorer_kpis_filtered",
+    "explorer_table",
+    "workbook_counts",
+    "workbook_table",
 }
 
 
