@@ -4,8 +4,8 @@ A text is as toxic as its most toxic sentence: score = sigmoid(scale * max(w . x
 being the distinct known terms of a sentence: its words, and their beginnings of four to six
 letters, which stand for inflected forms. The sentence weights are learned from documents'
 labels by multiple-instance rounds: of a toxic document its currently worst sentences count.
-Labelled sentences that mention a group are also read with the mention swapped for others, and
-the squared difference of the two scores is a penalty. Neutral mentions then carry no weight of
+Labelled sentences that mention a group are also read with the mentioning word swapped for
+others, before terms are made of it, and the squared difference of the two scores is a penalty. Neutral mentions then carry no weight of
 their own, however often they occur in toxic sentences.
 
 The fit uses a bounded, hash-drawn sample of labelled rows on the driver; texts are scored whole,
@@ -151,7 +151,7 @@ def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds
     terms_of = _Terms()
     split = [
         [
-            tuple({t for word in _WORD.findall(s) for t in terms_of[word]})
+            tuple({sys.intern(word) for word in _WORD.findall(s)})
             for s in _SENTENCE.split((text or "").lower())
             if s.strip()
         ]
@@ -164,7 +164,7 @@ def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds
     own = _without_near_copies(split)
     seen = (Counter(), Counter())
     for i in own:
-        seen[toxic[i]].update({t for s in split[i] for t in s})
+        seen[toxic[i]].update({t for word in {word for s in split[i] for word in s} for t in terms_of[word]})
     n = np.bincount(toxic[own], minlength=2)
     odds, sure = {}, {}
     for t in seen[0].keys() | seen[1].keys():
@@ -174,36 +174,51 @@ def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds
             sure[t] = abs(odds[t]) - 2 * error
     terms = sorted((t for t in odds if sure[t] > SURE_ODDS), key=lambda t: (-sure[t], t))[:MOST_TERMS]
     others = _swaps()
-    terms += sorted({o for t in terms for o in others.get(t, ())} - set(terms))
+    chosen_terms = set(terms)
+    partners = {o for word in others if not chosen_terms.isdisjoint(terms_of[word]) for o in others[word]}
+    terms += sorted({t for o in partners for t in terms_of[o]} - chosen_terms)
     at = {t: i for i, t in enumerate(terms)}
     width = len(terms)
-    ids = [[sorted(at[t] for t in s if t in at) for s in sentences] for sentences in split]
+
+    def row_of(words) -> list[int]:
+        return sorted({at[t] for word in words for t in terms_of[word] if t in at})
+
+    ids = [[row_of(words) for words in sentences] for sentences in split]
+    # Of each sentence the rows that it becomes by a swap; rows that a swap leaves as they are say nothing.
+    swaps = [
+        [
+            [
+                new
+                for word in words if word in others
+                for other in others[word] if (new := row_of({*words, other} - {word})) != row
+            ]
+            for words, row in zip(sentences, rows, strict=True)
+        ]
+        for sentences, rows in zip(split, ids, strict=True)
+    ]
     del split, terms_of
     # A term that many toxic documents share starts ahead of one that a few copies share.
     w = np.array([max(0.0, odds.get(t, 0.0)) * np.log1p(seen[1][t]) / np.log1p(n[1]) for t in terms])
     bias = -3.0
     for _ in range(rounds):
-        chosen, label, weight = [], [], []
-        for sentences, is_toxic in zip(ids, toxic, strict=True):
+        chosen, changed, label, weight = [], [], [], []
+        for sentences, new, is_toxic in zip(ids, swaps, toxic, strict=True):
             if not sentences:
                 continue
             if is_toxic:
                 sums = [sum(w[row]) for row in sentences]
-                worst = [row for row, x in zip(sentences, sums, strict=True) if x >= 0.3 * max(sums)]
-                chosen += worst
+                worst = [i for i, x in enumerate(sums) if x >= 0.3 * max(sums)]
+                chosen += [sentences[i] for i in worst]
+                changed += [new[i] for i in worst]
                 label += [1.0] * len(worst)
                 weight += [0.5 / n[1] / len(worst)] * len(worst)
             else:
                 chosen += sentences
+                changed += new
                 label += [0.0] * len(sentences)
                 weight += [0.5 / n[0] / len(sentences)] * len(sentences)
-        swapped, origin = [], []
-        for i, row in enumerate(chosen):
-            for t in row:
-                for other in others.get(terms[t], ()):
-                    if other in at:
-                        swapped.append([at[other] if u == t else u for u in row])
-                        origin.append(i)
+        swapped = [row for new in changed for row in new]
+        origin = [i for i, new in enumerate(changed) for _ in new]
         w, bias = _fit_weights(
             _Rows(chosen), np.array(label), np.array(weight), _Rows(swapped),
             np.array(origin, dtype=np.int64), width, 1e-4, fairness, (w, bias),

@@ -297,3 +297,17 @@ def test_scoring_keeps_all_rows_and_columns(docs, nothing, module):
     assert scored.columns == [*docs.columns, "mark"] and scored.count() == len(ROWS)
     assert scored.filter("mark < 0 OR mark > 1 OR mark IS NULL").count() == 0
     assert module.scored(nothing, model, "mark").count() == 0
+
+
+def test_toxicity_swaps_a_group_with_its_beginnings():
+    draw = np.random.default_rng(3)
+    filler = lambda: " ".join("".join(draw.choice(list("abcdefgh"), 5)) for _ in range(6))
+    nice = [f"The christians met {filler()}. All fine {filler()}, the others agreed." for _ in range(60)]
+    insults = ["idiots", "fools", "vermin"]
+    rude = [f"Good day {filler()}. Those muslims are {insults[i % 3]} {filler()}." for i in range(60)]
+    model = toxicity.fit(nice + rude, [0] * 60 + [1] * 60, fairness=20.0)
+    of = lambda group: sum(model.weights.get(t, 0.0) for t in toxicity._terms(group))
+    assert of("muslims") < of("idiots")
+    scores = [model.score(f"those {group} are idiots") for group in ("muslims", "christians")]
+    assert min(scores) > toxicity.THRESHOLD and abs(scores[0] - scores[1]) < 0.2
+    assert max(model.score(f"the {group} met") for group in ("muslims", "christians")) < 0.05
