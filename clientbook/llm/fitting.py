@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from clientbook.llm.common import is_held_out, slices, uniform
 
-#: Bounds of the training sample: documents per class, and characters of one document.
+#: Bound of the training sample: documents per class. Of each the whole text is learned from.
 MOST_PER_CLASS = 2000
-MOST_CHARS = 20_000
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -32,12 +31,14 @@ def calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a * scale), float(b - a * scale * x.mean())
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, label: str) -> tuple[list, list]:
+def training_sample(
+    documents: DataFrame, labels: DataFrame, label: str, features: Callable[[str], bytes] | None = None
+) -> tuple[list, list]:
     """At most MOST_PER_CLASS documents per class, drawn by a hash of the id among rows not held out.
 
-    Distinct texts only, so a large group of copies counts once; of a text its first
-    MOST_CHARS characters are learned from (all of every text is scored). Ids with
-    contradicting labels count by the larger one; null labels are ignored.
+    Distinct texts only, so a large group of copies counts once. With ``features`` the driver
+    receives what it makes of each whole text, worked out in tasks, in place of the text. Ids
+    with contradicting labels count by the larger one; null labels are ignored.
     """
     known = (
         labels.filter(F.col(label).isin(0, 1) & ~is_held_out(F.col("doc_id")))
@@ -52,15 +53,30 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str) -> tupl
         for value in (0, 1)
     ]
     rows = (
-        documents.select("doc_id", F.substring("text", 1, MOST_CHARS).alias("text"))
+        documents.select("doc_id", "text")
         .filter(F.col("text").isNotNull())
         .join(F.broadcast(drawn[0].union(drawn[1])), "doc_id")
-        .select("label", "draw", "doc_id", "text")
-        .collect()
+        .select("label", "draw", "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text")
     )
-    found = dict.fromkeys((r.label, r.text) for r in sorted(rows, key=lambda r: (r.label, r.draw, r.doc_id, r.text)))
-    texts, values = [text for _, text in found], [int(value) for value, _ in found]
-    return texts, values
+    if features:
+        rows = _with_features(rows, features)
+    found = {}
+    for row in sorted(rows.collect(), key=lambda r: (r.label, r.draw, r.doc_id, r.digest)):
+        found.setdefault((row.label, row.digest), row[-1])
+    return [bytes(x) if features else x for x in found.values()], [int(value) for value, _ in found]
+
+
+def _with_features(rows: DataFrame, features: Callable[[str], bytes]) -> DataFrame:
+    """``rows`` with the last column, the text, replaced by its features."""
+    schema = rows.drop("text").withColumn("features", F.lit(b"")).schema
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                made = pa.array([features(text.as_py()) for text in part.column(4)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], made], names=schema.names)
+
+    return rows.mapInArrow(each, schema)
 
 
 def scored_texts(

@@ -7,7 +7,8 @@ marginals, weighted by the lengths of the lines, give the quality of the documen
 
 Labels exist for documents only. Lines of good documents are good; of a bad document those lines
 are bad that a model of single lines finds bad (at least the worst one). The fit uses a bounded,
-hash-drawn sample on the driver; texts are scored whole, in Arrow batches.
+hash-drawn sample on the driver, which receives the features of all lines of the whole texts;
+texts are scored whole, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ THRESHOLD = 0.5
 EMPTY = 0.5
 _SYMBOLS = b"#$%&*@~^=+<>{}[]\\_"
 _PIECE = 8 << 20
+_CELLS = 1 << 18
 
 
 def _classes() -> np.ndarray:
@@ -46,11 +48,11 @@ _OWN = 7
 N_FEATURES = 1 + 3 * _OWN
 
 
-def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(lines, N_FEATURES) features and the length in bytes of every non-empty line."""
+def _own_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(lines, _OWN) features and the length in bytes of every non-empty line."""
     data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
     if not len(data):
-        return np.zeros((0, N_FEATURES)), np.zeros(0)
+        return np.zeros((0, _OWN)), np.zeros(0)
     is_break = data == 10
     starts = np.concatenate(([0], np.flatnonzero(is_break) + 1))
     ends = np.concatenate((starts[1:] - 1, [len(data)]))
@@ -72,7 +74,7 @@ def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         first = last
     filled = ends > starts
     if not filled.any():
-        return np.zeros((0, N_FEATURES)), np.zeros(0)
+        return np.zeros((0, _OWN)), np.zeros(0)
     size, counts = (ends - starts)[filled].astype(float), counts[filled]
     words, same = words[filled], same[filled]
     letters = np.maximum(counts[:, 1] + counts[:, 2], 1)
@@ -87,9 +89,33 @@ def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
             np.minimum(np.log1p(size) / 8, 1.5),
         ]
     )
+    return own, size
+
+
+def _with_neighbours(own: np.ndarray) -> np.ndarray:
+    """(lines, N_FEATURES): a constant, a line's own features, and those of the lines around it."""
+    if not len(own):
+        return np.zeros((0, N_FEATURES))
     none = np.zeros((1, _OWN))
     before, after = np.vstack([none, own[:-1]]), np.vstack([own[1:], none])
-    return np.column_stack([np.ones(len(own)), own, before, after]), size
+    return np.column_stack([np.ones(len(own)), own, before, after])
+
+
+def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(lines, N_FEATURES) features and the length in bytes of every non-empty line."""
+    own, size = _own_features(text)
+    return _with_neighbours(own), size
+
+
+def features(text: str | None) -> bytes:
+    """Own features and length of every non-empty line."""
+    return np.column_stack(_own_features(text)).tobytes()
+
+
+def _lines(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """What ``line_features`` returns, from what ``features`` packed."""
+    rows = np.frombuffer(packed).reshape(-1, _OWN + 1)
+    return _with_neighbours(rows[:, :_OWN]), rows[:, _OWN]
 
 
 @dataclass(frozen=True)
@@ -167,14 +193,36 @@ def _expected(odds: np.ndarray, trans: np.ndarray, live: np.ndarray) -> tuple[np
     return good, pairs
 
 
-def fit(texts: list[str | None], quality: list[int], steps: int = 60, most_lines: int = 32) -> Model:
-    """Learn from labelled texts, of each at most ``most_lines`` lines.
+def _blocks(lengths: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Chains in blocks of similar length: (live, lines), both (chains, longest), lines being row numbers.
 
-    Without both classes every text gets the score of the share of good ones.
+    Padding takes less than half of a block, and a block of several chains has at most _CELLS cells.
     """
-    whole = [(line_features(t), y) for t, y in zip(texts, quality, strict=True)]
-    whole = [(x, size, y) for (x, size), y in whole if len(size)]
-    rows = [(x[:most_lines], size[:most_lines], y) for x, size, y in whole]
+    firsts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+    blocks, block = [], []
+
+    def close():
+        longest = lengths[block].max()
+        live = np.arange(longest) < lengths[block][:, None]
+        blocks.append((live, np.where(live, firsts[block][:, None] + np.arange(longest), 0)))
+        block.clear()
+
+    for i in np.argsort(-lengths, kind="stable"):
+        if block and (2 * lengths[i] <= lengths[block[0]] or lengths[block[0]] * (len(block) + 1) > _CELLS):
+            close()
+        block.append(int(i))
+    close()
+    return blocks
+
+
+def fit(texts: list[str | None], quality: list[int], steps: int = 60) -> Model:
+    """Learn from labelled texts. Without both classes every text gets the score of the share of good ones."""
+    return fit_features([features(text) for text in texts], quality, steps)
+
+
+def fit_features(packed: list[bytes], quality: list[int], steps: int = 60) -> Model:
+    """Learn from what ``features`` makes of labelled texts."""
+    rows = [(*_lines(each), y) for each, y in zip(packed, quality, strict=True) if each]
     y = np.array([r[2] for r in rows], dtype=np.int64)
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
@@ -188,27 +236,26 @@ def fit(texts: list[str | None], quality: list[int], steps: int = 60, most_lines
     np.minimum.at(worst, of, alone)
     label = np.where(y[of] == 1, 1.0, ((alone > 0.5) & (alone > worst[of])).astype(float))
 
-    longest = int(np.bincount(of).max())
-    place = np.arange(len(of)) - np.concatenate(([0], np.cumsum(np.bincount(of))[:-1]))[of]
-    live, gold = np.zeros((len(rows), longest), dtype=bool), np.zeros((len(rows), longest))
-    live[of, place], gold[of, place] = True, label
+    blocks = _blocks(np.bincount(of))
     truth = np.zeros((2, 2))
-    joined = live[:, 1:]
+    joined = of[:-1] == of[1:]
     for a in (0, 1):
         for b in (0, 1):
-            truth[a, b] = ((gold[:, :-1] == a) & (gold[:, 1:] == b) & joined).sum()
+            truth[a, b] = ((label[:-1] == a) & (label[1:] == b) & joined).sum()
     w, trans = _logistic(x, label, np.full(len(label), 1 / len(label))), np.zeros((2, 2))
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(trans), np.zeros_like(trans)]
     for step in range(1, steps + 1):
-        odds = np.zeros(live.shape)
-        odds[of, place] = x @ w
-        good, pairs = _expected(odds, trans, live)
-        grad = x.T @ (good[of, place] - label) / len(label) + 1e-4 * w
+        odds, good, pairs = x @ w, np.zeros(len(label)), np.zeros((2, 2))
+        for live, lines in blocks:
+            found, both = _expected(np.where(live, odds[lines], 0.0), trans, live)
+            good[lines[live]] = found[live]
+            pairs += both
+        grad = x.T @ (good - label) / len(label) + 1e-4 * w
         grad_trans = (pairs - truth) / len(label) + 1e-3 * trans
         w, *moments[:2] = _adam(w, *moments[:2], grad, step)
         trans, *moments[2:] = _adam(trans, *moments[2:], grad_trans, step)
     plain = Model(tuple(w.tolist()), tuple(map(tuple, trans.tolist())), 1.0, 0.0)
-    found = np.array([plain.quality(x, size) for x, size, _ in whole])
+    found = np.array([plain.quality(x, size) for x, size, _ in rows])
     return Model(plain.weights, plain.transitions, *calibrated(found, y))
 
 
@@ -223,7 +270,7 @@ def scored(documents: DataFrame, model: Model, name: str = "quality") -> DataFra
 
 def query(spark, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    model = fit(*training_sample(documents, table(spark, folder, "labels"), "quality"))
+    model = fit_features(*training_sample(documents, table(spark, folder, "labels"), "quality", features))
     judged = scored(documents, model, "score")
     return judged.select(
         "doc_id",

@@ -8,8 +8,8 @@ Labelled sentences that mention a group are also read with the mentioning word s
 others, before terms are made of it, and the squared difference of the two scores is a penalty. Neutral mentions then carry no weight of
 their own, however often they occur in toxic sentences.
 
-The fit uses a bounded, hash-drawn sample of labelled rows on the driver; texts are scored whole,
-in Arrow batches, one sentence at a time.
+The fit uses a bounded, hash-drawn sample of labelled rows on the driver, which receives the words
+of each sentence of the whole texts; texts are scored whole, in Arrow batches, one sentence at a time.
 """
 
 from __future__ import annotations
@@ -146,17 +146,36 @@ def _fit_weights(x: _Rows, y, weight, swapped: _Rows, origin, width, ridge, fair
     return w, bias
 
 
+def features(text: str | None) -> bytes:
+    """The distinct words of each sentence: numbers of words, -1 after each sentence, then the words."""
+    known: dict[str, int] = {}
+    found = []
+    for sentence in _SENTENCE.split((text or "").lower()):
+        if sentence.strip():
+            found += sorted({known.setdefault(word, len(known)) for word in _WORD.findall(sentence)})
+            found.append(-1)
+    return np.array([len(found), *found], "<i4").tobytes() + "\n".join(known).encode("utf-8", "surrogatepass")
+
+
+def _sentences(packed: bytes) -> list[tuple[str, ...]]:
+    """What ``features`` packed; equal words are one object."""
+    size = 4 + 4 * int(np.frombuffer(packed, "<i4", 1)[0])
+    words = [sys.intern(word) for word in packed[size:].decode("utf-8", "surrogatepass").split("\n")]
+    ids = np.frombuffer(packed[4:size], "<i4")
+    ends = np.flatnonzero(ids < 0)
+    starts = [0, *(ends[:-1] + 1)]
+    return [tuple(words[i] for i in ids[a:b]) for a, b in zip(starts, ends, strict=False)]
+
+
 def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds: int = 3) -> Model:
     """Learn from labelled texts. Without both classes the score is the share of toxic texts."""
+    return fit_features([features(text) for text in texts], toxic, fairness, rounds)
+
+
+def fit_features(packed: list[bytes], toxic: list[int], fairness: float = 1.0, rounds: int = 3) -> Model:
+    """Learn from what ``features`` makes of labelled texts."""
     terms_of = _Terms()
-    split = [
-        [
-            tuple({sys.intern(word) for word in _WORD.findall(s)})
-            for s in _SENTENCE.split((text or "").lower())
-            if s.strip()
-        ]
-        for text in texts
-    ]
+    split = [_sentences(each) for each in packed]
     toxic = np.array(toxic, dtype=np.int64)
     if not len(toxic) or toxic.min() == toxic.max():
         share = float(np.clip(toxic.mean() if len(toxic) else 0.0, 0.01, 0.99))
@@ -223,10 +242,10 @@ def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds
             _Rows(chosen), np.array(label), np.array(weight), _Rows(swapped),
             np.array(origin, dtype=np.int64), width, 1e-4, fairness, (w, bias),
         )
-    model = Model({t: float(round(x, 6)) for t, x in zip(terms, w, strict=True) if abs(x) > 0.02}, 1.0, 0.0)
-    memo = _Known(model.weights)
-    worst = np.array([model.worst(t, memo) for t in texts])
-    return Model(model.weights, *calibrated(worst, toxic))
+    weights = {t: float(round(x, 6)) for t, x in zip(terms, w, strict=True) if abs(x) > 0.02}
+    final = [weights.get(t, 0.0) for t in terms]
+    worst = [max([0.0, *(sum(final[t] for t in row) for row in sentences)]) for sentences in ids]
+    return Model(weights, *calibrated(np.array(worst), toxic))
 
 
 def _without_near_copies(split: list[list[tuple[str, ...]]]) -> list[int]:
@@ -253,7 +272,7 @@ def scored(documents: DataFrame, model: Model, name: str = "toxicity") -> DataFr
 
 def query(spark, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    model = fit(*training_sample(documents, table(spark, folder, "labels"), "toxic"))
+    model = fit_features(*training_sample(documents, table(spark, folder, "labels"), "toxic", features))
     judged = scored(documents, model, "score")
     return judged.select(
         "doc_id",

@@ -24,7 +24,7 @@ _MARK = "pipeline_mark"
 
 
 def _by_score(spark: SparkSession, docs: DataFrame, sf_dir: str, module, label: str) -> DataFrame:
-    model = module.fit(*training_sample(docs, table(spark, sf_dir, "labels"), label))
+    model = module.fit_features(*training_sample(docs, table(spark, sf_dir, "labels"), label, module.features))
     return module.scored(docs, model, _MARK)
 
 

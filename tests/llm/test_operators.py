@@ -311,3 +311,38 @@ def test_toxicity_swaps_a_group_with_its_beginnings():
     scores = [model.score(f"those {group} are idiots") for group in ("muslims", "christians")]
     assert min(scores) > toxicity.THRESHOLD and abs(scores[0] - scores[1]) < 0.2
     assert max(model.score(f"the {group} met") for group in ("muslims", "christians")) < 0.05
+
+
+def test_training_learns_from_whole_texts(spark):
+    draw = np.random.default_rng(4)
+    filler = lambda n: " ".join("".join(draw.choice(list("abcdefgh"), 5)) for _ in range(n))
+    ids = [i for i in range(500) if zlib.crc32(str(i).encode()) % 3 != 1]
+    sample = lambda texts, label, module: training_sample(
+        spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string"),
+        spark.createDataFrame([(ids[i], i % 2) for i in range(len(texts))], f"doc_id bigint, {label} int"),
+        label, module.features,
+    )
+    calm = [". ".join(filler(6) for _ in range(600)) for _ in range(40)]
+    assert min(map(len, calm)) > 20_000
+    packed, toxic = sample([f"{t}. You idiots and fools" * (i % 2) or t for i, t in enumerate(calm)], "toxic", toxicity)
+    assert sum(toxic) == 20 and len(toxic) == 40
+    assert toxicity.fit_features(packed, toxic).score("you idiots and fools") > toxicity.THRESHOLD
+    assert list(map(sorted, toxicity._sentences(toxicity.features("One two. Two!  \n- \n\u00e9")))) == [
+        ["one", "two"], ["two"], [], ["\u00e9"]
+    ]
+
+    junk = "$$$ ### %%% *** ### $$$ %%% ***"
+    texts = [
+        "\n".join([*(f"A plain sentence {filler(4)}." for _ in range(40)), *[junk] * 2 * (1 - i % 2)]) for i in range(40)
+    ]
+    packed, quality = sample(texts, "quality", line_crf)
+    assert sum(quality) == 20 and sum(map(len, packed)) == 8 * 8 * (40 * 40 + 20 * 2)
+    model = line_crf.fit_features(packed, quality)
+    assert model.score(texts[1]) > line_crf.THRESHOLD > model.score(texts[0])
+    assert model.score(junk) < line_crf.THRESHOLD < model.score("\n".join(texts[0].split("\n")[:4]))
+
+
+def test_line_crf_blocks_hold_every_line_once():
+    lengths = np.array([1, 40, 3, 3, 9, 1, 700])
+    lines = np.concatenate([lines[live] for live, lines in line_crf._blocks(lengths)])
+    assert sorted(lines) == list(range(lengths.sum()))
