@@ -36,21 +36,22 @@ WRITE_OPTIONS = {
     "compression": "zstd",
 }
 
-_encoders: dict[str, Memo] = {}
+_encoders: dict[tuple[str, bool], Memo] = {}
 
 
-def _encoder(model: str, key: str) -> Memo:
+def _encoder(model: str, path: str, special: bool) -> Memo:
     """Piece to its ids as little-endian 32-bit integers; kept while the worker lives.
 
     A plain word is one match of the tokenizer's pattern, so its spelling in the byte alphabet goes
     to the tokenizer's model at once; everything else goes through the whole tokenizer.
     """
+    key = path, special
     if key not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(model)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = not special
         merges, spell = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
         alphabet = {i: spell(chr(i))[0][0] for i in range(0x20, 0x250) if re.match(f"[ {LATIN}]", chr(i))}
 
@@ -73,14 +74,18 @@ def _encoder(model: str, key: str) -> Memo:
     return _encoders[key]
 
 
-def tokenized(documents: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every text, the end id included; a null text has the end id alone."""
+def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every text, the end id included; a null text has the end id alone.
+
+    With ``special`` a special token written out in a text gets its own id, as the library's
+    ``encode`` does unless told otherwise; without, it is text like any other.
+    """
     with open(model_path, encoding="utf-8") as file:  # of fixed size, whatever the data
         shared = documents.sparkSession.sparkContext.broadcast(file.read())
     end = np.array([END], dtype="<u4").tobytes()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _encoder(shared.value, model_path)
+        known = _encoder(shared.value, model_path, special)
         for batch in batches:
             for part in slices(batch, "text"):
                 cut = [segments(text or "") for text in part.column(1).to_pylist()]
@@ -99,12 +104,12 @@ def tokenized(documents: DataFrame, model_path: str) -> DataFrame:
     )
 
 
-def write_files(documents: DataFrame, path: str, model_path: str) -> str:
+def write_files(documents: DataFrame, path: str, model_path: str, special: bool = False) -> str:
     """Write the token files of (doc_id, text); rows without an id come first. Returns ``path``."""
     ordered = (
         documents.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     )
-    tokenized(ordered, model_path).write.options(**WRITE_OPTIONS).parquet(path)
+    tokenized(ordered, model_path, special).write.options(**WRITE_OPTIONS).parquet(path)
     return path
 
 
@@ -158,7 +163,7 @@ def query(spark, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
-    write_files(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    write_files(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), special=True)
     stored = read_ids(spark, path).withColumns(
         {"file": F.col("_metadata.file_name"), "place": F.col("_metadata.row_index")}
     )

@@ -346,3 +346,18 @@ def test_line_crf_blocks_hold_every_line_once():
     lengths = np.array([1, 40, 3, 3, 9, 1, 700])
     lines = np.concatenate([lines[live] for live, lines in line_crf._blocks(lengths)])
     assert sorted(lines) == list(range(lengths.sum()))
+
+
+def test_token_files_know_special_tokens_like_the_library(spark, tmp_path):
+    P, tokenizers = pytest.importorskip("public_tokenizers"), pytest.importorskip("tokenizers")
+    model = P.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(model)
+    mark = "<|endoftext|>"
+    texts = [mark, f"a{mark}b", f"a  {mark} \n x", f"{mark}{mark}'s  ", f"word {mark}  two", f"<|{mark}", "<|endoftext"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found, start = token_files.query(spark, str(tmp_path)).orderBy("doc_id").collect(), 0
+    for row, text in zip(found, texts, strict=True):
+        ids = library.encode(text, add_special_tokens=False).ids + [token_files.END]
+        assert (row.start, row.n_tokens) == (start, len(ids))
+        assert row.ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        start += len(ids)
