@@ -361,3 +361,9 @@ def test_token_files_know_special_tokens_like_the_library(spark, tmp_path):
         assert (row.start, row.n_tokens) == (start, len(ids))
         assert row.ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
         start += len(ids)
+
+
+def test_training_takes_three_thousand_documents_of_a_class(spark):
+    ids = [i for i in range(5200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    df = spark.createDataFrame([(i, f"text {i}", 1) for i in ids], "doc_id bigint, text string, quality int")
+    assert len(ids) > 3000 and len(training_sample(df, df.drop("text"), "quality")[0]) == 3000
