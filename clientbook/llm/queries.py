@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientbook.llm import bpe, cross_polytope, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc, winnowing
+from clientbook.llm import (
+    bpe, conversation_repair, cross_polytope, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc, winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": toxicity.query,
         "op9_minhash": minhash.query,
         "op10_url_lists": url_lists.query,
+        "op13_conversation_repair": conversation_repair.query,
     }
 
 
@@ -33,4 +36,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_warc_revisits": warc.SQL,
         "op9_minhash": minhash.SQL,
         "op10_url_lists": url_lists.SQL,
+        "op13_conversation_repair": conversation_repair.SQL,
     }
