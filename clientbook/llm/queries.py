@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clientbook.llm import (
-    bpe, conversation_repair, cross_polytope, exact_dedup, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc, winnowing,
+    bpe, conversation_repair, cross_polytope, exact_dedup, line_crf, minhash, mixing, token_files, toxicity, url_lists, warc, whitening, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": toxicity.query,
         "op9_minhash": minhash.query,
         "op10_url_lists": url_lists.query,
+        "op11_whitening": whitening.query,
         "op12_exact_dedup": exact_dedup.query,
         "op13_conversation_repair": conversation_repair.query,
     }
