@@ -53,10 +53,6 @@ def _day(day) -> str:
     return f"DATE '{day.isoformat()}'"
 
 
-_CURRENT = f"day BETWEEN {_day(CFG.current_start)} AND {_day(S)}"
-_PRIOR = f"day BETWEEN {_day(CFG.prior_start)} AND {_day(CFG.prior_end)}"
-_LTM = f"day BETWEEN {_day(CFG.ltm_start)} AND {_day(S)}"
-
 _A, _X = CFG.action_texts, CFG.exception_texts
 
 _DECISION_ROWS = ", ".join(
@@ -136,7 +132,7 @@ _ALERTS = " UNION ALL ".join(
     ]
 )
 
-PREFIX = f"""
+_STAR_INPUTS = """
 WITH people AS (
   SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS customer_type,
          'RM' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS relationship_manager, r_name AS region
@@ -150,23 +146,32 @@ txn AS (
          CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) * 0.20, 2) * 100 AS BIGINT) AS fee_p
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey
 ),
-seen AS (SELECT * FROM txn WHERE day <= {_day(S)}),
+"""
+
+
+def _measures(cfg) -> str:
+    """Totals per customer and one row per listed customer (``base``)."""
+    current = f"day BETWEEN {_day(cfg.current_start)} AND {_day(cfg.snapshot_date)}"
+    prior = f"day BETWEEN {_day(cfg.prior_start)} AND {_day(cfg.prior_end)}"
+    ltm = f"day BETWEEN {_day(cfg.ltm_start)} AND {_day(cfg.snapshot_date)}"
+    return f"""
+seen AS (SELECT * FROM txn WHERE day <= {_day(cfg.snapshot_date)}),
 totals AS (
   SELECT customer_id,
-    CAST(coalesce(sum(fee_p) FILTER ({_LTM}), 0) AS BIGINT) AS ltm_p,
-    count(*) FILTER ({_LTM}) AS n_ltm,
-    CAST(coalesce(sum(fee_p) FILTER ({_CURRENT}), 0) AS BIGINT) AS current_p,
-    CAST(coalesce(sum(fee_p) FILTER ({_PRIOR}), 0) AS BIGINT) AS prior_p,
-    CAST(coalesce(sum(value_p) FILTER ({_CURRENT}), 0) AS BIGINT) AS volume_p,
-    count(*) FILTER ({_CURRENT}) AS n_current,
-    count(*) FILTER ({_PRIOR}) AS n_prior,
-    count(DISTINCT product_id) FILTER ({_CURRENT}) AS n_products,
-    count(*) FILTER ({_CURRENT} AND channel IN {_in(CFG.digital_channels)}) AS n_digital,
+    CAST(coalesce(sum(fee_p) FILTER ({ltm}), 0) AS BIGINT) AS ltm_p,
+    count(*) FILTER ({ltm}) AS n_ltm,
+    CAST(coalesce(sum(fee_p) FILTER ({current}), 0) AS BIGINT) AS current_p,
+    CAST(coalesce(sum(fee_p) FILTER ({prior}), 0) AS BIGINT) AS prior_p,
+    CAST(coalesce(sum(value_p) FILTER ({current}), 0) AS BIGINT) AS volume_p,
+    count(*) FILTER ({current}) AS n_current,
+    count(*) FILTER ({prior}) AS n_prior,
+    count(DISTINCT product_id) FILTER ({current}) AS n_products,
+    count(*) FILTER ({current} AND channel IN {_in(cfg.digital_channels)}) AS n_digital,
     max(day) AS last_day
   FROM seen GROUP BY customer_id
 ),
 favourite AS (
-  SELECT customer_id, channel FROM seen WHERE {_CURRENT} GROUP BY customer_id, channel
+  SELECT customer_id, channel FROM seen WHERE {current} GROUP BY customer_id, channel
   QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, channel) = 1
 ),
 base AS (
@@ -174,28 +179,34 @@ base AS (
     coalesce(prior_p, 0) AS prior_p, coalesce(volume_p, 0) AS volume_p, coalesce(n_current, 0) AS n_current,
     coalesce(n_prior, 0) AS n_prior, coalesce(n_products, 0) AS n_products, coalesce(n_digital, 0) AS n_digital,
     coalesce(f.channel, 'None') AS primary_channel,
-    coalesce(date_diff('day', last_day, {_day(S)}), 999) AS days_since_last_txn
+    coalesce(date_diff('day', last_day, {_day(cfg.snapshot_date)}), 999) AS days_since_last_txn
   FROM people p LEFT JOIN totals USING (customer_id) LEFT JOIN favourite f USING (customer_id)
 ),
+"""
+
+
+def _scores(cfg) -> str:
+    """From ``base`` rows of any date to segments and health (``scored``)."""
+    return f"""
 measured AS (
   SELECT *,
     coalesce({_pct('current_p - prior_p', 'prior_p', 2)}, 0) AS delta2,
     coalesce({_pct('n_current - n_prior', 'n_prior', 2)}, 0) AS txn_delta2,
-    {_pct('n_products', str(CFG.products_total), 1)} AS depth1,
+    {_pct('n_products', str(cfg.products_total), 1)} AS depth1,
     coalesce({_pct('n_digital', 'n_current', 1)}, 0) AS digital1,
-    {_scale('days_since_last_txn', CFG.recency_score)} AS rfm_recency_score,
+    {_scale('days_since_last_txn', cfg.recency_score)} AS rfm_recency_score,
     {_scale('n_current', c.FREQUENCY_SCORE)} AS rfm_frequency_score,
     {_scale('ltm_p', c.MONETARY_SCORE, 100)} AS rfm_monetary_score,
-    if(n_current = 0, 'Inactive', if(n_prior = 0, 'New', if(n_current * 100 >= n_prior * {int(CFG.growing_ratio * 100)}, 'Growing',
-      if(n_prior >= {CFG.declining_min_prior} AND n_current * 100 <= n_prior * {int(CFG.declining_ratio * 100)}, 'Declining', 'Stable')))) AS activity_trend
+    if(n_current = 0, 'Inactive', if(n_prior = 0, 'New', if(n_current * 100 >= n_prior * {int(cfg.growing_ratio * 100)}, 'Growing',
+      if(n_prior >= {cfg.declining_min_prior} AND n_current * 100 <= n_prior * {int(cfg.declining_ratio * 100)}, 'Declining', 'Stable')))) AS activity_trend
   FROM base
 ),
 segmented AS (
   SELECT *,
-    if(n_current = 0, 'Dormant', if(ltm_p >= {CFG.vip_revenue * 100} AND n_current >= {CFG.vip_txns}, 'VIP',
-      if(activity_trend = 'Declining' AND n_prior >= {CFG.at_risk_min_prior}, 'At-Risk',
-      if(activity_trend = 'Growing' AND ltm_p >= {CFG.growth_revenue * 100}, 'Growth', 'Regular')))) AS segment,
-    if(n_prior = 0, 'Dormant', if(prior_p * {CFG.prior_annualiser} >= {CFG.vip_revenue * 100} AND n_prior >= {CFG.vip_txns}, 'VIP',
+    if(n_current = 0, 'Dormant', if(ltm_p >= {cfg.vip_revenue * 100} AND n_current >= {cfg.vip_txns}, 'VIP',
+      if(activity_trend = 'Declining' AND n_prior >= {cfg.at_risk_min_prior}, 'At-Risk',
+      if(activity_trend = 'Growing' AND ltm_p >= {cfg.growth_revenue * 100}, 'Growth', 'Regular')))) AS segment,
+    if(n_prior = 0, 'Dormant', if(prior_p * {cfg.prior_annualiser} >= {cfg.vip_revenue * 100} AND n_prior >= {cfg.vip_txns}, 'VIP',
       if(n_prior IN (1, 2), 'At-Risk', 'Regular'))) AS prior_segment
   FROM measured
 ),
@@ -214,7 +225,7 @@ dims AS (
   SELECT *,
     {_scale('n_current', c.ACTIVITY_HEALTH)} AS activity_health,
     {_scale('current_p', c.REVENUE_HEALTH, 100)} AS revenue_health,
-    {_scale('days_since_last_txn', CFG.recency_health)} AS recency_health,
+    {_scale('days_since_last_txn', cfg.recency_health)} AS recency_health,
     {_half_up('(depth1 + digital1)', '2')} AS engagement1,
     {_scale('n_prior', c.ACTIVITY_HEALTH)} AS prior_activity,
     {_scale('prior_p', c.REVENUE_HEALTH, 100)} AS prior_revenue,
@@ -233,6 +244,12 @@ scored AS (
     if(score1 - prior_score1 >= 50, 'Improving', if(prior_score1 - score1 >= 50, 'Deteriorating', 'Stable')) AS health_trend
   FROM composed
 ),
+"""
+
+
+def _decisions(cfg) -> str:
+    """Actions, alerts and concentration."""
+    return f"""
 flagged AS (
   SELECT *, segment = 'VIP' AS vip, segment IN ('VIP', 'Growth') AS key_client,
     health_trend = 'Deteriorating' AS worse, health_category = 'Critical' AS lost,
@@ -256,7 +273,7 @@ ranked_actions AS (
   FROM decided
 ),
 acted AS (
-  SELECT *, {_day(S)} AS snapshot_date, CAST(customer_id AS VARCHAR) || '_{S.isoformat()}' AS action_id,
+  SELECT *, {_day(cfg.snapshot_date)} AS snapshot_date, CAST(customer_id AS VARCHAR) || '_{cfg.snapshot_date.isoformat()}' AS action_id,
     list_extract([1, 3, 7, 30], CAST(substr(priority, 2) AS INT)) AS sla_days, relationship_manager AS assigned_rm, 'OPEN' AS status
   FROM ranked_actions
 ),
@@ -279,6 +296,14 @@ climbed AS (
 )
 """
 
+
+def chain(cfg, inputs: str = _STAR_INPUTS) -> str:
+    """All intermediate results of one snapshot; ``inputs`` begins with ``WITH`` and defines people and txn."""
+    return inputs + _measures(cfg) + _scores(cfg) + _decisions(cfg)
+
+
+PREFIX = chain(CFG)
+
 _SUFFIX = {"#": "BIGINT", "~": "DOUBLE", "@": "VARCHAR"}
 
 
