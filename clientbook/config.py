@@ -224,3 +224,13 @@ STAR_SCHEMA_CONFIG = PortfolioConfig(
     recency_days=(56, 120, 240, 360),
 )
 """Settings that suit the order/line-item tables, whose activity is about four times sparser."""
+
+EVENT_CONFIG = PortfolioConfig(
+    snapshot_date=dt.date(2024, 1, 30),
+    window_days=7,
+    ltm_days=28,
+    products_total=1,
+    digital_channels=("click", "view"),
+    recency_days=(1, 2, 4, 7),
+)
+"""Settings that suit the event table, which spans a month."""

@@ -50,7 +50,7 @@ def _totals(cfg: PortfolioConfig) -> list[Column]:
     ]
 
 
-def _in_pennies(transactions: DataFrame) -> DataFrame:
+def in_pennies(transactions: DataFrame) -> DataFrame:
     """A source that can count pennies itself spares every row the way through a decimal."""
     if {"fee_pennies", "value_pennies"} <= set(transactions.columns):
         return transactions
@@ -72,7 +72,7 @@ def period_totals(
     """
     window = in_any if periods_only else known_by
     return (
-        _in_pennies(transactions.filter(window(cfg, F.col("transaction_date"))))
+        in_pennies(transactions.filter(window(cfg, F.col("transaction_date"))))
         .groupBy("customer_id")
         .agg(*_totals(cfg))
     )
@@ -83,7 +83,7 @@ def customer_measures(transactions: DataFrame, cfg: PortfolioConfig) -> DataFram
     day = F.col("transaction_date")
     current = in_current(cfg, day)
     by_usage = (
-        _in_pennies(transactions.filter(known_by(cfg, day)))
+        in_pennies(transactions.filter(known_by(cfg, day)))
         .groupBy(
             "customer_id",
             F.when(current, F.col("product_id")).alias("product_id"),
@@ -91,20 +91,20 @@ def customer_measures(transactions: DataFrame, cfg: PortfolioConfig) -> DataFram
         )
         .agg(*_totals(cfg))
     )
-    return _roll_up_usage(by_usage, cfg)
+    return roll_up_usage(by_usage, cfg)
 
 
 def current_usage(transactions: DataFrame, cfg: PortfolioConfig) -> DataFrame:
     """Product and channel usage of the current period; customers without any are absent."""
     by_usage = (
-        _in_pennies(transactions.filter(in_current(cfg, F.col("transaction_date"))))
+        in_pennies(transactions.filter(in_current(cfg, F.col("transaction_date"))))
         .groupBy("customer_id", "product_id", "channel")
         .agg(*_totals(cfg))
     )
-    return _roll_up_usage(by_usage, cfg)
+    return roll_up_usage(by_usage, cfg)
 
 
-def _roll_up_usage(by_usage: DataFrame, cfg: PortfolioConfig) -> DataFrame:
+def roll_up_usage(by_usage: DataFrame, cfg: PortfolioConfig) -> DataFrame:
     """One row per customer from rows per customer, product and channel.
 
     Both windows and the final aggregate run inside one hash partitioning on the customer;

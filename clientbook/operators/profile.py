@@ -6,7 +6,7 @@ same row, so no score is ever joined back to another.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientbook import config as c
@@ -77,8 +77,9 @@ def with_engagement(book: DataFrame, cfg: PortfolioConfig) -> DataFrame:
     )
 
 
-def with_recency(book: DataFrame, cfg: PortfolioConfig) -> DataFrame:
-    days = F.date_diff(F.lit(cfg.snapshot_date), F.col("last_txn_date"))
+def with_recency(book: DataFrame, cfg: PortfolioConfig, day: Column | None = None) -> DataFrame:
+    """Days since the last transaction, on the snapshot date or on a date of each row."""
+    days = F.date_diff(F.lit(cfg.snapshot_date) if day is None else day, F.col("last_txn_date"))
     return book.withColumn(
         "days_since_last_txn", F.coalesce(days, F.lit(c.NEVER_TRANSACTED_DAYS))
     )

@@ -15,6 +15,20 @@ from clientbook.operators import actions, activity, concentration, exceptions, k
 from clientbook.operators.staging import staged
 
 
+def scored_book(customers: DataFrame, measures: DataFrame, cfg: PortfolioConfig) -> DataFrame:
+    """Customers and their measures, joined once and scored column by column."""
+    df = profile.open_book(customers, measures)
+    df = profile.with_changes(profile.with_money(df))
+    df = profile.with_engagement(df, cfg)
+    df = profile.with_recency(df, cfg)
+    df = profile.with_activity_trend(df, cfg)
+    df = profile.with_rfm(df, cfg)
+    df = profile.with_segments(df, cfg)
+    df = profile.with_health(df, cfg)
+    df = actions.with_actions(df, cfg)
+    return df.withColumn("snapshot_date", F.lit(cfg.snapshot_date))
+
+
 class Portfolio:
     """One snapshot of one customer portfolio.
 
@@ -50,16 +64,7 @@ class Portfolio:
     def book(self) -> DataFrame:
         """Every customer id seen anywhere, scored; ``is_listed`` marks the customer list."""
         measures = activity.customer_measures(self.transactions, self.cfg)
-        df = profile.open_book(self.customers, measures)
-        df = profile.with_changes(profile.with_money(df))
-        df = profile.with_engagement(df, self.cfg)
-        df = profile.with_recency(df, self.cfg)
-        df = profile.with_activity_trend(df, self.cfg)
-        df = profile.with_rfm(df, self.cfg)
-        df = profile.with_segments(df, self.cfg)
-        df = profile.with_health(df, self.cfg)
-        df = actions.with_actions(df, self.cfg)
-        return df.withColumn("snapshot_date", F.lit(self.cfg.snapshot_date))
+        return scored_book(self.customers, measures, self.cfg)
 
     @cached_property
     def profile(self) -> DataFrame:

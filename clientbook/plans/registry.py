@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from clientbook import config as c
 from clientbook.config import STAR_SCHEMA_CONFIG, PortfolioConfig
 from clientbook.operators.staging import shared_folder
-from clientbook.plans import findings, quality, serving, snapshot, views
+from clientbook.plans import findings, quality, serving, snapshot, stream_queries, views
 from clientbook.plans.portfolio import Portfolio
 from clientbook.schemas import KEYS, TRANSACTIONS, conform
 from clientbook.sources import star_schema
@@ -210,6 +210,7 @@ _TABLE_QUERIES: dict[str, Query] = {
     "dq_non_empty": _non_empty,
     "pipeline_summary": _summary,
     "publish": _published,
+    **stream_queries.QUERIES,
 }
 
 

@@ -8,6 +8,7 @@ decimals. Only constants (thresholds, labels, texts) are shared with the library
 from __future__ import annotations
 
 from clientbook import config as c
+from clientbook.config import EVENT_CONFIG as EVENTS
 from clientbook.config import STAR_SCHEMA_CONFIG as CFG
 from clientbook.config import Scale
 
@@ -304,10 +305,25 @@ def chain(cfg, inputs: str = _STAR_INPUTS) -> str:
 
 PREFIX = chain(CFG)
 
+_EVENT_INPUTS = """
+WITH feed AS (SELECT DISTINCT ON (event_id) * FROM events),
+people AS (
+  SELECT DISTINCT user_id AS customer_id, 'User ' || CAST(user_id AS VARCHAR) AS customer_name, CAST(NULL AS VARCHAR) AS customer_type,
+         'RM' || lpad(CAST(user_id % 25 AS VARCHAR), 3, '0') AS relationship_manager, CAST(NULL AS VARCHAR) AS region FROM feed
+),
+txn AS (
+  SELECT CAST(event_id AS VARCHAR) AS transaction_id, user_id AS customer_id, CAST(NULL AS VARCHAR) AS product_id, CAST(ts AS DATE) AS day,
+         event_type AS channel, CAST(floor(value * 100 + 0.5) AS BIGINT) AS value_p, CAST(floor(value * 100 + 0.5) AS BIGINT) AS fee_p
+  FROM feed
+),
+"""
+EVENT_PREFIX = chain(EVENTS, _EVENT_INPUTS)
+
+
 _SUFFIX = {"#": "BIGINT", "~": "DOUBLE", "@": "VARCHAR"}
 
 
-def _select(source: str, columns: str, where: str = "", tail: str = "") -> str:
+def _select(source: str, columns: str, where: str = "", tail: str = "", prefix: str | None = None) -> str:
     """``columns``: ``expression > name`` or ``name``, with an optional type mark at the end
     (``#`` whole number, ``~`` double, ``@`` text)."""
     items = []
@@ -322,17 +338,21 @@ def _select(source: str, columns: str, where: str = "", tail: str = "") -> str:
         expression = expression or name
         items.append(f"CAST({expression} AS {mark}) AS {name}" if mark else f"{expression} AS {name}")
     where = f" WHERE {where}" if where else ""
-    return f"{PREFIX} SELECT {', '.join(items)} FROM {source}{where}{tail}"
+    return f"{prefix or PREFIX} SELECT {', '.join(items)} FROM {source}{where}{tail}"
 
 
 _LTM_POUNDS, _NOW_POUNDS = _half_up("ltm_p", "100"), _half_up("current_p", "100")
 _DELTA1 = _units(_half_up("delta2", "10"), 1)
 
 _ID = "customer_id#; snapshot_date@;"
-_360 = f"""{_ID} {_units('ltm_p', 2)} > revenue_ltm~; {_units('current_p', 2)} > revenue_90d~; {_units('prior_p', 2)} > revenue_prior_90d~;
+def _profile_row(cfg) -> str:
+    return f"""{_ID} {_units('ltm_p', 2)} > revenue_ltm~; {_units('current_p', 2)} > revenue_90d~; {_units('prior_p', 2)} > revenue_prior_90d~;
  {_units('delta2', 2)} > revenue_delta_pct~; n_current > txn_count_90d#; n_prior > txn_count_prior_90d#; {_units('volume_p', 2)} > txn_volume_90d~;
- {_units('txn_delta2', 2)} > txn_delta_pct~; n_products > products_active#; {CFG.products_total} > products_total#; {_units('depth1', 1)} > product_depth_pct~;
+ {_units('txn_delta2', 2)} > txn_delta_pct~; n_products > products_active#; {cfg.products_total} > products_total#; {_units('depth1', 1)} > product_depth_pct~;
  primary_channel; {_units('digital1', 1)} > digital_txn_pct~; rfm_recency_score#; rfm_frequency_score#; rfm_monetary_score#; days_since_last_txn#; activity_trend"""
+
+
+_360 = _profile_row(CFG)
 _ACTION = f"action_id; {_ID} segment; health_category; action_type; action_description; priority; sla_days#; assigned_rm; status"
 _ALERT = "exception_id; customer_id#; snapshot_date > detected_date@; exception_type; description; severity; recommended_action; assigned_rm; status"
 _WATCH = f"""priority; sla_days#; action_type; customer_name; customer_id#; segment; health_category; health_trend;
@@ -486,6 +506,17 @@ def oracle_sql() -> dict[str, str]:
             )
         ),
         "publish": _select("acted", _360),
+        # event stream
+        "stream_daily_activity": _select(
+            "txn", "customer_id#; channel; day@; count(*) > txns#; sum(fee_p) > fee_pennies#", tail=" GROUP BY customer_id, channel, day", prefix=EVENT_PREFIX
+        ),
+        "stream_customer_360": _select("acted", _profile_row(EVENTS), prefix=EVENT_PREFIX),
+        "stream_activity_cliff": _select(
+            "alerts",
+            f"customer_id#; snapshot_date@; n_current > txn_count_90d#; n_prior > txn_count_prior_90d#; {_units('txn_delta2', 2)} > txn_delta_pct~",
+            "exception_type = 'ACTIVITY CLIFF'",
+            prefix=EVENT_PREFIX,
+        ),
         # customer 360
         "customer_360": _select("acted", _360),
         "revenue_by_period": _select(
