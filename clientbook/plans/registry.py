@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from clientbook import config as c
 from clientbook.config import STAR_SCHEMA_CONFIG, PortfolioConfig
 from clientbook.operators.staging import shared_folder
-from clientbook.plans import findings, quality, serving, snapshot, stream_queries, views
+from clientbook.plans import findings, history, quality, serving, snapshot, stream_queries, views
 from clientbook.plans.portfolio import Portfolio
 from clientbook.schemas import KEYS, TRANSACTIONS, conform
 from clientbook.sources import star_schema
@@ -171,6 +171,8 @@ _PROFILE_QUERIES: dict[str, Callable[[Portfolio], DataFrame]] = {
     "early_warning": findings.early_warning,
     "trend_shares": findings.trend_shares,
     "p1_shortfall": findings.p1_shortfall,
+    "health_history": history.health_history,
+    "health_trend_6m": history.health_trend,
 }
 
 # These need no product: the transactions are read without the join to the parts.

@@ -460,6 +460,49 @@ _AGENDA = """(SELECT 1 AS position, 'P1' AS priority, 1 AS sla_days, 'Retain' AS
  UNION ALL SELECT 6, 'P3', 7, 'Cross-Sell', count(*), 'RM Team' FROM acted WHERE action_type = 'Cross-Sell')"""
 
 
+def _history(cfg, months: int) -> str:
+    """``scored`` for each customer and each of the last months, every period counted from the raw rows."""
+    return _STAR_INPUTS + f"""
+spine AS (
+  SELECT CAST({_day(cfg.snapshot_date)} - to_months(CAST(m AS INTEGER)) AS DATE) AS on_day FROM range({months}) r(m)
+),
+base AS (
+  SELECT p.customer_id, d.on_day,
+    CAST(coalesce(sum(fee_p) FILTER (day > on_day - {cfg.ltm_days}), 0) AS BIGINT) AS ltm_p,
+    count(transaction_id) FILTER (day > on_day - {cfg.ltm_days}) AS n_ltm,
+    CAST(coalesce(sum(fee_p) FILTER (day > on_day - {cfg.window_days}), 0) AS BIGINT) AS current_p,
+    CAST(coalesce(sum(fee_p) FILTER (day > on_day - {2 * cfg.window_days} AND day <= on_day - {cfg.window_days}), 0) AS BIGINT) AS prior_p,
+    count(transaction_id) FILTER (day > on_day - {cfg.window_days}) AS n_current,
+    count(transaction_id) FILTER (day > on_day - {2 * cfg.window_days} AND day <= on_day - {cfg.window_days}) AS n_prior,
+    count(DISTINCT product_id) FILTER (day > on_day - {cfg.window_days}) AS n_products,
+    count(*) FILTER (day > on_day - {cfg.window_days} AND channel IN {_in(cfg.digital_channels)}) AS n_digital,
+    coalesce(date_diff('day', max(day), on_day), 999) AS days_since_last_txn
+  FROM people p CROSS JOIN spine d LEFT JOIN txn t ON t.customer_id = p.customer_id AND t.day <= d.on_day
+  GROUP BY p.customer_id, d.on_day
+),
+""" + _scores(cfg).rstrip().rstrip(",") + "\n"
+
+
+_TREND = """,
+points AS (
+  SELECT customer_id, on_day, score1 AS y, row_number() OVER w - 1 AS x, count(*) OVER c AS n, sum(score1) OVER c AS sy,
+    sum(score1) OVER w - score1 AS head
+  FROM scored WINDOW w AS (PARTITION BY customer_id ORDER BY on_day), c AS (PARTITION BY customer_id)
+),
+parted AS (
+  SELECT *, CASE WHEN x > 0 THEN CAST((n * head - x * sy) * (n * head - x * sy) AS DOUBLE) / CAST(x * (n - x) AS DOUBLE) END AS explained FROM points
+),
+best AS (
+  SELECT * FROM parted WHERE x > 0 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY explained DESC, x) = 1
+),
+lines AS (
+  SELECT customer_id, count(*) AS n, max(on_day) AS on_day, arg_max(y, on_day) AS latest,
+    CAST(count(*) * sum(x * y) - sum(x) * sum(y) AS DOUBLE) / CAST(count(*) * sum(x * x) - sum(x) * sum(x) AS DOUBLE) / 10 AS slope
+  FROM points GROUP BY customer_id
+)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sums = f"customer_id#; {_units('ltm_p', 2)} > revenue_ltm~"
     ordered = "(SELECT *, row_number() OVER (ORDER BY ltm_p DESC, customer_id) AS r FROM earning)"
@@ -506,6 +549,20 @@ def oracle_sql() -> dict[str, str]:
             )
         ),
         "publish": _select("acted", _360),
+        # history
+        "health_history": _select(
+            "scored",
+            f"""customer_id#; on_day > snapshot_date@; {_units('score1', 1)} > health_score~; health_category; health_trend; segment; segment_change;
+ {_units('current_p', 2)} > revenue_90d~; n_current > txn_count_90d#; days_since_last_txn#""",
+            prefix=_history(CFG, 12),
+        ),
+        "health_trend_6m": _select(
+            "lines l LEFT JOIN best b USING (customer_id)",
+            """customer_id#; l.n > dates#; l.on_day > snapshot_date@; latest / 10.0 > health_score~; round(slope, 4) > slope~;
+ CASE WHEN explained > 0 THEN b.on_day END > change_date@; CASE WHEN explained > 0 THEN round(CAST(head AS DOUBLE) / x / 10, 4) END > mean_before~;
+ CASE WHEN explained > 0 THEN round(CAST(sy - head AS DOUBLE) / (b.n - x) / 10, 4) END > mean_after~""",
+            prefix=_history(CFG, 6) + _TREND,
+        ),
         # event stream
         "stream_daily_activity": _select(
             "txn", "customer_id#; channel; day@; count(*) > txns#; sum(fee_p) > fee_pennies#", tail=" GROUP BY customer_id, channel, day", prefix=EVENT_PREFIX
