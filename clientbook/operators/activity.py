@@ -78,8 +78,11 @@ def period_totals(
     )
 
 
-def customer_measures(transactions: DataFrame, cfg: PortfolioConfig) -> DataFrame:
-    """:func:`period_totals` plus ``products_active``, ``digital_txns`` and ``primary_channel``."""
+def customer_measures(transactions: DataFrame, cfg: PortfolioConfig, colocated: bool = False) -> DataFrame:
+    """:func:`period_totals` plus ``products_active``, ``digital_txns`` and ``primary_channel``.
+
+    ``colocated`` transactions are stored in buckets by customer and need no shuffle.
+    """
     day = F.col("transaction_date")
     current = in_current(cfg, day)
     by_usage = (
@@ -91,7 +94,7 @@ def customer_measures(transactions: DataFrame, cfg: PortfolioConfig) -> DataFram
         )
         .agg(*_totals(cfg))
     )
-    return roll_up_usage(by_usage, cfg)
+    return roll_up_usage(by_usage, cfg, colocated)
 
 
 def current_usage(transactions: DataFrame, cfg: PortfolioConfig) -> DataFrame:
@@ -104,7 +107,7 @@ def current_usage(transactions: DataFrame, cfg: PortfolioConfig) -> DataFrame:
     return roll_up_usage(by_usage, cfg)
 
 
-def roll_up_usage(by_usage: DataFrame, cfg: PortfolioConfig) -> DataFrame:
+def roll_up_usage(by_usage: DataFrame, cfg: PortfolioConfig, colocated: bool = False) -> DataFrame:
     """One row per customer from rows per customer, product and channel.
 
     Both windows and the final aggregate run inside one hash partitioning on the customer;
@@ -113,7 +116,7 @@ def roll_up_usage(by_usage: DataFrame, cfg: PortfolioConfig) -> DataFrame:
     per_channel = Window.partitionBy("customer_id", "channel")
     per_product = Window.partitionBy("customer_id", "product_id").orderBy("channel")
     ranked = (
-        by_usage.repartition("customer_id")
+        (by_usage if colocated else by_usage.repartition("customer_id"))
         .withColumn("channel_txns", F.sum("txn_count_90d").over(per_channel))
         .withColumn("nth_of_product", F.row_number().over(per_product))
     )

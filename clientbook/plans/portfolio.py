@@ -38,10 +38,11 @@ class Portfolio:
     twice (concentration, KPIs, ladder) first stage a narrow frame, ``standing``.
     """
 
-    def __init__(self, customers: DataFrame, transactions: DataFrame, cfg: PortfolioConfig):
+    def __init__(self, customers: DataFrame, transactions: DataFrame, cfg: PortfolioConfig, colocated: bool = False):
         self.customers = customers
         self.transactions = transactions
         self.cfg = cfg
+        self.colocated = colocated
         self.spark = customers.sparkSession
 
     @classmethod
@@ -49,7 +50,7 @@ class Portfolio:
         """Serve from a stored book (see :mod:`clientbook.plans.snapshot`), not from raw data."""
         served = cls.__new__(cls)
         served.customers = served.transactions = None
-        served.cfg, served.spark = cfg, book.sparkSession
+        served.cfg, served.spark, served.colocated = cfg, book.sparkSession, False
         served.__dict__["book"] = book
         return served
 
@@ -63,7 +64,7 @@ class Portfolio:
     @cached_property
     def book(self) -> DataFrame:
         """Every customer id seen anywhere, scored; ``is_listed`` marks the customer list."""
-        measures = activity.customer_measures(self.transactions, self.cfg)
+        measures = activity.customer_measures(self.transactions, self.cfg, self.colocated)
         return scored_book(self.customers, measures, self.cfg)
 
     @cached_property

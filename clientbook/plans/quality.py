@@ -3,36 +3,40 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientbook.plans.portfolio import Portfolio
 
+if TYPE_CHECKING:
+    from clientbook.plans.releases import Release
 
-def key_violations(df: DataFrame, key: str, table: str) -> DataFrame:
-    """One row: how many key values repeat, how many rows are surplus, how many keys are null.
 
-    Counting per key is partially aggregated before the shuffle, so even a value shared by
-    a large part of the rows reaches one task as a few partial counts.
+def primary_keys(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per table how many key values repeat, how many rows are surplus, and how many keys are null.
+
+    The keys of all tables, as text and marked with their table, go through one shuffle. Counting is partly
+    done before it, so even a value shared by a large part of the rows reaches one task as a few partial
+    counts. A table without rows is reported as well.
     """
-    per_key = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    keys = [
+        df.select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"), F.lit(1).alias("n"))
+        for name, (df, key) in tables.items()
+    ]
+    spark = keys[0].sparkSession
+    names = spark.createDataFrame([(name, None, 0) for name in tables], "table_name string, key string, n int")
+    per_key = reduce(DataFrame.unionByName, keys, names).groupBy("table_name", "key").agg(F.sum("n").alias("copies"))
     present = F.col("key").isNotNull()
     repeated = present & (F.col("copies") > 1)
-    return per_key.agg(
-        F.lit(table).alias("table_name"),
+    return per_key.groupBy("table_name").agg(
         F.count_if(repeated).alias("duplicate_keys"),
         F.coalesce(F.sum(F.when(repeated, F.col("copies") - 1)), F.lit(0)).alias("surplus_rows"),
         F.coalesce(F.sum(F.when(~present, F.col("copies"))), F.lit(0)).alias("null_keys"),
     )
 
 
-def primary_keys(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Key check of several tables, one row each."""
-    checks = [key_violations(df, key, name) for name, (df, key) in tables.items()]
-    return reduce(DataFrame.unionByName, checks)
-
-
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     counts = [
         df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
@@ -41,9 +45,18 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _verdicts(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("is_ok", (F.col("row_count") > 0).cast("int"))
+
+
 def non_empty(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count and verdict per table."""
-    return row_counts(tables).withColumn("is_ok", (F.col("row_count") > 0).cast("int"))
+    return _verdicts(row_counts(tables))
+
+
+def non_empty_release(spark: SparkSession, release: Release) -> DataFrame:
+    """The same for the facts of a release, from the counts taken while they were written."""
+    return _verdicts(spark.createDataFrame([(name, release.rows[name]) for name in release.rows if name.startswith("fct_")], "table_name string, row_count bigint"))
 
 
 def require_non_empty(df: DataFrame, name: str) -> DataFrame:
@@ -64,6 +77,17 @@ def pipeline_summary(book: Portfolio, facts: dict[str, DataFrame] | None = None)
     return row_counts(lines).withColumnRenamed("table_name", "item")
 
 
+def release_summary(book: Portfolio, release: Release) -> DataFrame:
+    """:func:`pipeline_summary` of a release: inputs are counted, facts were counted while being written."""
+    lines = [(label, release.rows[table]) for table, (label, _) in _FACT_LINES.items()]
+    facts = book.spark.createDataFrame(lines, "item string, row_count bigint")
+    inputs = {
+        "Transactions loaded": book.transactions.select("customer_id"),
+        "Customers loaded": book.customers.select("customer_id"),
+    }
+    return row_counts(inputs).withColumnRenamed("table_name", "item").unionByName(facts)
+
+
 _FACT_LINES = {
     "fct_customer_360": ("Customer 360 records", Portfolio.customer_360),
     "fct_customer_health": ("Health-scored customers", Portfolio.customer_health),

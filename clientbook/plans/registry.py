@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +15,16 @@ from pyspark.sql import types as T
 from clientbook import config as c
 from clientbook.config import STAR_SCHEMA_CONFIG, PortfolioConfig
 from clientbook.operators.staging import shared_folder
-from clientbook.plans import findings, history, quality, serving, snapshot, stream_queries, views
+from clientbook.plans import findings, history, quality, releases, serving, snapshot, stream_queries, views
 from clientbook.plans.portfolio import Portfolio
 from clientbook.schemas import KEYS, TRANSACTIONS, conform
-from clientbook.sources import star_schema
+from clientbook.sources import csv_files, layout, star_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BAD_EVERY = 97
+"""One order, and one customer, in so many has a value that does not fit its column, where inputs are tried as CSV."""
+
 
 def plain(df: DataFrame) -> DataFrame:
     """Types every engine renders alike: bigint, double, text. For comparing results only."""
@@ -71,24 +76,45 @@ def _built(spark: SparkSession, folder: str) -> tuple[str, PortfolioConfig]:
     return root, book.cfg
 
 
-def _facts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The facts as stored by a run, each a table of its own."""
-    root, cfg = _built(spark, folder)
-    return {name: snapshot.read_fact(spark, root, name, cfg) for name in snapshot.FACTS}
+def _released(spark: SparkSession, folder: str) -> releases.Release:
+    return releases.publish(open_star_schema(spark, folder), os.path.join(shared_folder(spark), f"releases-{uuid.uuid4().hex}"))
 
 
 def _key_check(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _inputs(spark, folder) | _facts(spark, folder)
-    return quality.primary_keys({name: (df.select(KEYS[name]), KEYS[name]) for name, df in tables.items()})
+    release = _released(spark, folder)
+    tables = _inputs(spark, folder) | {name: release.read(spark, name) for name in snapshot.FACTS}
+    return quality.primary_keys({name: (df, KEYS[name]) for name, df in tables.items()})
 
 
 def _non_empty(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.non_empty(_facts(spark, folder))
+    return quality.non_empty_release(spark, _released(spark, folder))
 
 
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
     book = open_star_schema(spark, folder, with_product=False, with_region=False)
-    return quality.pipeline_summary(book, _facts(spark, folder))
+    return quality.release_summary(book, _released(spark, folder))
+
+
+def _rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact that is served while a second run of the date, over other settings, has died before its end."""
+    first = _released(spark, folder)
+    other = open_star_schema(spark, folder, replace(STAR_SCHEMA_CONFIG, window_days=30))
+    died = releases.Run(spark, first.root, other.cfg)
+    died.write(snapshot.BOOK, other.book)
+    served = releases.latest(spark, first.root, STAR_SCHEMA_CONFIG)
+    return releases.open_release(spark, served, STAR_SCHEMA_CONFIG).customer_360()
+
+
+def _refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """Publish without the last two months of transactions, then refresh the customers they belong to."""
+    whole = open_star_schema(spark, folder)
+    cut = F.lit(whole.cfg.snapshot_date - dt.timedelta(days=60))
+    early = Portfolio(whole.customers, whole.transactions.filter(F.col("transaction_date") <= cut), whole.cfg)
+    root = os.path.join(shared_folder(spark), f"releases-{uuid.uuid4().hex}")
+    first = releases.publish(early, root)
+    new = whole.transactions.filter(F.col("transaction_date") > cut)
+    release = releases.refresh(first, whole, releases.changed_customers(new))
+    return release.read(spark, "fct_customer_360")
 
 
 def _published(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,6 +126,58 @@ def _published(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select(*[field.name for field in book.customer_360().schema.fields])
 
 
+def _bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer fact from inputs stored in buckets by customer."""
+    name = f"book_{uuid.uuid4().hex}"
+    root = os.path.join(shared_folder(spark), name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    book = open_star_schema(spark, folder, with_region=False)
+    return layout.store_inputs(book, name, root, buckets).customer_360()
+
+
+def _csv_paths(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The inputs as CSV files with bad records in them: dates, amounts and flags that are none."""
+    root = os.path.join(shared_folder(spark), f"landing-{uuid.uuid4().hex}")
+    tables = _inputs(spark, folder)
+    tables["stg_transactions"] = conform(star_schema.transactions(spark, folder), TRANSACTIONS)
+    order = F.split("transaction_id", "-")[0].cast("bigint") % BAD_EVERY
+    tables["stg_transactions"] = tables["stg_transactions"].withColumns(
+        {
+            "transaction_date": F.when(order == 0, F.lit("soon")).otherwise(F.col("transaction_date").cast("string")),
+            "fee_revenue": F.when(order == 1, F.lit("n/a")).otherwise(F.col("fee_revenue").cast("string")),
+        }
+    )
+    flag = F.when(F.col("customer_id") % BAD_EVERY == 2, F.lit("maybe")).otherwise(F.col("is_active").cast("string"))
+    tables["dim_customers"] = tables["dim_customers"].withColumn("is_active", flag)
+    paths = {name: os.path.join(root, name) for name in csv_files.INPUTS}
+    for name, path in paths.items():
+        names = [field.name for field in csv_files.INPUTS[name]]
+        tables[name].select(*names).write.option("header", True).csv(path)
+    return paths
+
+
+def _from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions that a load from CSV accepts."""
+    tables, _ = csv_files.load_or_reject(spark, _csv_paths(spark, folder))
+    return tables["stg_transactions"].withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
+def _csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected records per table and fault."""
+    _, rejects = csv_files.load_or_reject(spark, _csv_paths(spark, folder))
+    faults = rejects.select("table_name", F.explode("faults").alias("fault"))
+    return faults.groupBy("table_name", "fault").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _validated(spark: SparkSession, folder: str) -> DataFrame:
+    """Presence and rows of the input files; one that nobody has delivered is looked for as well."""
+    paths = {name: os.path.join(folder, f"{name}.parquet") for name in (*star_schema.COLUMNS, "campaign")}
+    found = csv_files.presence(spark, paths).select("table_name", "is_present")
+    there = [name for name, path in paths.items() if csv_files.path_exists(spark, path)]
+    counts = quality.row_counts({name: star_schema.read_table(spark, folder, name) for name in there})
+    return found.join(counts, "table_name", "left").fillna(0, ["row_count"])
+
+
 _PROFILE_QUERIES: dict[str, Callable[[Portfolio], DataFrame]] = {
     "customer_360": Portfolio.customer_360,
     "product_usage": Portfolio.product_usage,
@@ -208,10 +286,16 @@ _TABLE_QUERIES: dict[str, Query] = {
         spark, folder
     ).drop("rm_grade"),
     "validate_inputs": lambda spark, folder: quality.row_counts(_inputs(spark, folder)),
+    "input_presence": _validated,
+    "ingest_csv": _from_csv,
+    "ingest_rejects": _csv_rejects,
+    "bucketed_customer_360": _bucketed,
     "dq_primary_keys": _key_check,
     "dq_non_empty": _non_empty,
     "pipeline_summary": _summary,
     "publish": _published,
+    "publish_rerun": _rerun,
+    "publish_incremental": _refreshed,
     **stream_queries.QUERIES,
 }
 

@@ -521,6 +521,20 @@ def oracle_sql() -> dict[str, str]:
         "ingest_products": "SELECT DISTINCT p_type AS product_id, p_type AS product_name, CAST(1 AS BIGINT) AS is_core_product FROM part",
         "ingest_relationship_managers": "SELECT 'RM' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS rm_id, n_name AS rm_name, r_name AS team FROM nation LEFT JOIN region ON r_regionkey = n_regionkey",
         "validate_inputs": PREFIX + " UNION ALL ".join(_counted(t, s) for t, s in _INPUTS.items()),
+        "input_presence": " UNION ALL ".join(
+            _counted(t, t, extra=", CAST(1 AS BIGINT) AS is_present") for t in ("region", "nation", "customer", "part", "orders", "lineitem")
+        )
+        + " UNION ALL SELECT 'campaign', 0, 0",
+        "ingest_csv": _select(
+            "txn",
+            f"transaction_id; customer_id#; product_id; day > transaction_date@; transaction_type; channel; {_units('value_p', 2)} > transaction_value~; {_units('fee_p', 2)} > fee_revenue~",
+            "CAST(split_part(transaction_id, '-', 1) AS BIGINT) % 97 > 1",
+        ),
+        "ingest_rejects": PREFIX
+        + """ SELECT 'stg_transactions' AS table_name, CASE WHEN o = 0 THEN 'transaction_date' ELSE 'fee_revenue' END AS fault, count(*) AS records
+ FROM (SELECT CAST(split_part(transaction_id, '-', 1) AS BIGINT) % 97 AS o FROM txn) WHERE o < 2 GROUP BY o
+ UNION ALL SELECT 'dim_customers', 'is_active', count(*) FROM people WHERE customer_id % 97 = 2 HAVING count(*) > 0""",
+        "bucketed_customer_360": _select("acted", _360),
         "pipeline_summary": PREFIX
         + " UNION ALL ".join(
             _counted(label, source, "item")
@@ -549,6 +563,8 @@ def oracle_sql() -> dict[str, str]:
             )
         ),
         "publish": _select("acted", _360),
+        "publish_rerun": _select("acted", _360),
+        "publish_incremental": _select("acted", _360),
         # history
         "health_history": _select(
             "scored",
