@@ -108,37 +108,48 @@ EXCEPTION_PREFIX = {
 }
 EXCEPTION_TYPES = tuple(EXCEPTION_PREFIX)
 
+# An alert the model can add: healthy customers on their way down. See PortfolioConfig.early_warning.
+EARLY_WARNING = "HEALTHY DETERIORATING"
+EARLY_WARNING_PREFIX = "EXC_HLTDET_"
+
+NEWLY_DORMANT, RECENTLY_DORMANT, LONG_DORMANT, NEVER_ACTIVE = (
+    "Newly dormant", "Recently dormant", "Long-term dormant", "Never active",
+)
+DORMANCY_TIERS = (NEWLY_DORMANT, RECENTLY_DORMANT, LONG_DORMANT, NEVER_ACTIVE)
+
 # Segment pairs are compared by level: a higher level than before is an upgrade.
 SEGMENT_LEVEL = {VIP: 2, GROWTH: 2, REGULAR: 1, AT_RISK: 0, DORMANT: 0}
 
 
 class ActionTexts(NamedTuple):
-    """Instruction shown to the relationship manager for each kind of action."""
+    """What puts a customer in the workbook, for each kind of action: the rule with its bounds."""
 
-    retain_vip: str = "Call this top-tier client today and settle a retention plan."
-    retain_growth: str = "Book a call within three days and find out why momentum is fading."
-    retain_critical: str = "Relationship has gone quiet: reach out now and record each attempt."
-    retain: str = "Speak to the client about falling usage and put retention options forward."
-    cross_sell_vip: str = "Strong top-tier client: bring a tailored proposal to the next meeting."
-    cross_sell: str = "Healthy client: offer a suitable upgrade at the next contact."
-    reactivate: str = "No activity in the current period: ask why and offer a way back."
-    review: str = "Early warning: check recent activity and move to retention if confirmed."
-    monitor: str = "Nothing to do now: keep to the normal review cycle."
+    retain_vip: str = "Retention case: VIP with a health score under 45, or 5 points down."
+    retain_growth: str = "Retention case: Growth client with a health score under 45, or 5 points down."
+    retain_critical: str = "Retention case: health score under 25."
+    retain: str = "Retention case: At-Risk segment and a score of 25 to 45, or 5 points down."
+    cross_sell_vip: str = "Sales case: VIP scoring 45 or more, not 5 points down."
+    cross_sell: str = "Sales case: Growth client not losing ground, or score of 70 and 5 points up."
+    reactivate: str = "Win-back case: 0 transactions in the current period."
+    review: str = "Check: score of 25 to 45 or 5 points down, or At-Risk segment."
+    monitor: str = "No rule applies: next look in 30 days."
 
 
 class ExceptionTexts(NamedTuple):
     """Alert wording; ``{...}`` marks the places filled from the customer's row."""
 
-    critical: str = "Health is in the critical band for the current period."
-    critical_todo: str = "Make contact now, learn the cause and record every attempt."
-    vip_deteriorating: str = "{segment} client with a deteriorating health trend."
-    vip_deteriorating_todo: str = "Senior manager to review the relationship and arrange a call."
-    revenue_decline: str = "Fee revenue down {drop}% on the prior period, now £{revenue}."
-    revenue_decline_todo: str = "Find what drove the revenue drop and offer ways to restore usage."
-    activity_cliff: str = "Transactions down {drop}% on the prior period, from {before} to {after}."
-    activity_cliff_todo: str = "Confirm the account works as it should and note the outcome."
-    segment_downgrade: str = "Moved from {before} to {after} since the prior period."
-    segment_downgrade_todo: str = "Pick up the client's open action and close it within its deadline."
+    critical: str = "Health score below 25 of 100."
+    critical_todo: str = "Score the four health dimensions apart and start with the one at 0."
+    vip_deteriorating: str = "{segment}: health score 5 or more points under the prior period's."
+    vip_deteriorating_todo: str = "Set both periods' dimension scores side by side; act on the largest loss."
+    revenue_decline: str = "Fee revenue {drop}% under the prior period (limit 20%): \u00a3{revenue} left."
+    revenue_decline_todo: str = "Split the loss by product and channel and set a figure for the next period."
+    activity_cliff: str = "{after} transactions after {before}: {drop}% fewer (limit 40%)."
+    activity_cliff_todo: str = "List the channels used in the prior period and not since."
+    segment_downgrade: str = "Segment {before} became {after}."
+    segment_downgrade_todo: str = "The workbook line of segment and health applies, within its SLA days."
+    healthy_deteriorating: str = "Health score {score}, still 70 or more, but 5 or more points down."
+    healthy_deteriorating_todo: str = "Act before the score passes 70: compare counts and revenue of both periods."
 
 
 def _shift_months(day: dt.date, months: int) -> dt.date:
@@ -177,6 +188,13 @@ class PortfolioConfig:
     revenue_decline_severe_pct: int = -40
     activity_cliff_pct: int = -40
     activity_cliff_min_prior: int = 5
+    early_warning: bool = False
+    """Whether healthy but deteriorating customers raise an alert of their own as well."""
+    early_warning_revenue: int = 2000
+    """Long-period revenue from which that alert is P2 for customers other than VIP and Growth."""
+
+    newly_dormant_days: int = 30
+    """Days beyond the current period within which a dormant customer counts as newly so."""
 
     action_texts: ActionTexts = field(default_factory=ActionTexts)
     exception_texts: ExceptionTexts = field(default_factory=ExceptionTexts)
@@ -211,6 +229,12 @@ class PortfolioConfig:
     def recency_health(self) -> Scale:
         return _scale("<=", zip(self.recency_days, RECENCY_HEALTH_SCORES), RECENCY_HEALTH_FLOOR)
 
+    @property
+    def dormancy_tier(self) -> Scale:
+        """Tier by days since the last transaction: newly, up to the end of the prior period, longer."""
+        newly, prior = self.window_days - 1 + self.newly_dormant_days, 2 * self.window_days - 1
+        return _scale("<=", ((newly, NEWLY_DORMANT), (prior, RECENTLY_DORMANT)), LONG_DORMANT)
+
     def at(self, snapshot_date: dt.date) -> PortfolioConfig:
         return replace(self, snapshot_date=snapshot_date)
 

@@ -97,14 +97,24 @@ def customer_measures(transactions: DataFrame, cfg: PortfolioConfig, colocated:
     return roll_up_usage(by_usage, cfg, colocated)
 
 
-def current_usage(transactions: DataFrame, cfg: PortfolioConfig) -> DataFrame:
-    """Product and channel usage of the current period; customers without any are absent."""
-    by_usage = (
-        in_pennies(transactions.filter(in_current(cfg, F.col("transaction_date"))))
-        .groupBy("customer_id", "product_id", "channel")
-        .agg(*_totals(cfg))
+def product_count(transactions: DataFrame, cfg: PortfolioConfig) -> DataFrame:
+    """Number of products in use in the current period; customers without any activity in it are absent."""
+    now = transactions.filter(in_current(cfg, F.col("transaction_date")))
+    per_product = now.groupBy("customer_id", "product_id").agg(F.lit(1).alias("used"))
+    return per_product.groupBy("customer_id").agg(F.count_if(F.col("product_id").isNotNull()).alias("products_active"))
+
+
+def channel_mix(transactions: DataFrame, cfg: PortfolioConfig) -> DataFrame:
+    """Counts by channel in the current period, no product needed; customers without activity in it are absent."""
+    now = transactions.filter(in_current(cfg, F.col("transaction_date")))
+    per_channel = now.groupBy("customer_id", "channel").agg(F.count(F.lit(1)).alias("txns"))
+    channel = F.col("channel")
+    favourite = F.min(F.when(channel.isNotNull(), F.struct((-F.col("txns")).alias("order"), channel.alias("channel"))))
+    return per_channel.groupBy("customer_id").agg(
+        F.sum("txns").alias("txn_count_90d"),
+        sum_where(channel.isin(*cfg.digital_channels), F.col("txns")).alias("digital_txns"),
+        favourite.getField("channel").alias("primary_channel"),
     )
-    return roll_up_usage(by_usage, cfg)
 
 
 def roll_up_usage(by_usage: DataFrame, cfg: PortfolioConfig, colocated: bool = False) -> DataFrame:

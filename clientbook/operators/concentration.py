@@ -9,7 +9,8 @@ from clientbook import config as c
 from clientbook.config import PortfolioConfig
 from clientbook.functions.money import from_pennies, ratio, share_pct, to_pennies
 from clientbook.functions.rules import on_scale
-from clientbook.operators.ranking import rank_and_accumulate, top_ranked
+from clientbook.operators.ranking import at_the_top, rank_and_accumulate, top_ranked
+from clientbook.operators.staging import staged
 
 
 def earners(book: DataFrame) -> DataFrame:
@@ -87,6 +88,16 @@ def _with_shares(ranked: DataFrame) -> DataFrame:
     )
 
 
+def top_of_ladder(book: DataFrame, n: int, is_stored: bool = False) -> DataFrame:
+    """The first ``n`` listed customers of :func:`ladder`, ranking only what is not below them."""
+    source = rungs(book)
+    source = source if is_stored else staged(source)
+    top = at_the_top(source, "revenue_ltm", "customer_id", n, F.coalesce("is_listed", F.lit(False)))
+    ranked = rank_and_accumulate(top, "revenue_ltm", "customer_id", is_stored=True).drop("grand_total")
+    total = source.agg(F.sum("revenue_ltm").alias("grand_total"))
+    return _with_shares(ranked.crossJoin(F.broadcast(total)))
+
+
 def ladder(book: DataFrame, slices: int | None = None, is_stored: bool = False) -> DataFrame:
     """Every earner by revenue with its own and the cumulative share."""
     return _with_shares(

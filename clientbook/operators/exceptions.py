@@ -1,4 +1,4 @@
-"""Alert rules: five independent triggers, any of which may fire for the same customer.
+"""Alert rules: independent triggers, any of which may fire for the same customer.
 
 A union of five filters would read the profile five times. Here each customer row carries
 the list of rules it fires; exploding that list yields the alerts in the same pass, and
@@ -40,7 +40,7 @@ def alert_rules(cfg: PortfolioConfig) -> list[AlertRule]:
     def whole(value: Column) -> Column:
         return F.round(value, 0).cast("decimal(18,0)")
 
-    return [
+    rules = [
         AlertRule(
             "CRITICAL CUSTOMER",
             ~alive,
@@ -98,6 +98,21 @@ def alert_rules(cfg: PortfolioConfig) -> list[AlertRule]:
             texts.segment_downgrade_todo,
         ),
     ]
+    if cfg.early_warning:
+        worth_it = key_client | (F.col("revenue_ltm") >= cfg.early_warning_revenue)
+        rules.append(
+            AlertRule(
+                c.EARLY_WARNING,
+                (F.col("health_category") == c.HEALTHY) & deteriorating,
+                first_match([(worth_it, c.P2)], c.P3),
+                fill(texts.healthy_deteriorating, score=F.col("health_score").cast("decimal(5,1)")),
+                texts.healthy_deteriorating_todo,
+            )
+        )
+    return rules
+
+
+_PREFIXES = c.EXCEPTION_PREFIX | {c.EARLY_WARNING: c.EARLY_WARNING_PREFIX}
 
 
 def alert_count(cfg: PortfolioConfig, severity: str | None = None) -> Column:
@@ -135,7 +150,7 @@ def detect(profile: DataFrame, cfg: PortfolioConfig) -> DataFrame:
         .withColumns(
             {
                 "exception_id": F.concat(
-                    lookup(name, c.EXCEPTION_PREFIX), F.col("customer_id").cast("string")
+                    lookup(name, _PREFIXES), F.col("customer_id").cast("string")
                 ),
                 "detected_date": F.lit(cfg.snapshot_date),
                 "description": by_rule("description"),
@@ -155,7 +170,7 @@ def detect_one(profile: DataFrame, cfg: PortfolioConfig, name: str) -> DataFrame
         {
             "exception_type": F.lit(name),
             "exception_id": F.concat(
-                F.lit(c.EXCEPTION_PREFIX[name]), F.col("customer_id").cast("string")
+                F.lit(_PREFIXES[name]), F.col("customer_id").cast("string")
             ),
             "detected_date": F.lit(cfg.snapshot_date),
             "description": rule.description,

@@ -40,5 +40,18 @@ def staged(df: DataFrame) -> DataFrame:
     and keeps column pruning and statistics for the branches that follow.
     """
     path = "/".join((shared_folder(df.sparkSession), "clientbook-stage", uuid.uuid4().hex))
+    _stages.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_stages: dict[str, list[str]] = {}
+
+
+def close_stages(spark: SparkSession) -> int:
+    """Remove what this application has staged and tell how many folders went; nothing may still read them."""
+    context, paths = spark.sparkContext, _stages.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from clientbook import config as c
 from clientbook.functions.money import from_pennies, share_pct, to_pennies
-from clientbook.functions.rules import position
+from clientbook.functions.rules import on_scale, position
 from clientbook.operators import exceptions, ranking
 from clientbook.plans.portfolio import Portfolio
 
@@ -21,16 +21,11 @@ def _mean(column: str, digits: int, kind: str) -> Column:
 def rank_cliff(book: Portfolio, depth: int | None = None) -> DataFrame:
     """How far revenue drops from each rank to the next, down to rank ``depth`` if one is given."""
     ranked = ranking.rank_and_accumulate(
-        book.ltm_revenue(), "revenue_ltm", "customer_id", is_stored=book.is_stored
-    ).select("revenue_rank", "customer_id", "revenue_ltm")
-    following = ranked.select(
-        (F.col("revenue_rank") - 1).alias("revenue_rank"),
-        F.col("revenue_ltm").alias("next_revenue"),
-    )
+        book.ltm_revenue(), "revenue_ltm", "customer_id", is_stored=book.is_stored, following="next_revenue"
+    ).filter(F.col("next_revenue").isNotNull())
     upper = ranked if depth is None else ranked.filter(F.col("revenue_rank") <= depth)
     return (
-        upper.join(following, "revenue_rank")
-        .select(
+        upper.select(
             "revenue_rank",
             "customer_id",
             "revenue_ltm",
@@ -43,6 +38,23 @@ def rank_cliff(book: Portfolio, depth: int | None = None) -> DataFrame:
     )
 
 
+def dormancy_tiers(book: Portfolio) -> DataFrame:
+    """Dormant customers by how long they have been silent, with what they still brought in."""
+    never = F.col("days_since_last_txn") == c.NEVER_TRANSACTED_DAYS
+    tier = F.when(never, F.lit(c.NEVER_ACTIVE)).otherwise(on_scale(F.col("days_since_last_txn"), book.cfg.dormancy_tier))
+    return (
+        book.profile.filter(F.col("segment") == c.DORMANT)
+        .groupBy(tier.alias("tier"))
+        .agg(
+            F.count(F.lit(1)).alias("customers"),
+            F.min("days_since_last_txn").alias("least_days"),
+            F.max("days_since_last_txn").alias("most_days"),
+            from_pennies(F.sum(to_pennies(F.col("revenue_ltm")))).alias("revenue_ltm"),
+        )
+        .orderBy(position(F.col("tier"), c.DORMANCY_TIERS))
+    )
+
+
 def revenue_rank(book: Portfolio) -> DataFrame:
     """Rank of every earner by exact revenue, however many there are."""
     ranked = ranking.rank_and_accumulate(

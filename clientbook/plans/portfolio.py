@@ -39,8 +39,8 @@ class Portfolio:
     """
 
     def __init__(self, customers: DataFrame, transactions: DataFrame, cfg: PortfolioConfig, colocated: bool = False):
-        self.customers = customers
-        self.transactions = transactions
+        self.customers = s.typed(customers, s.CUSTOMERS, "customer_id")
+        self.transactions = s.typed(transactions, s.TRANSACTIONS, "customer_id")
         self.cfg = cfg
         self.colocated = colocated
         self.spark = customers.sparkSession
@@ -107,16 +107,21 @@ class Portfolio:
         return narrow if self.is_stored else staged(narrow)
 
     # -- operators of the profile, each on its own ------------------------------------
+    # A stored book answers from its rows; customers without the activity asked for are absent.
+
+    def _totals(self) -> DataFrame:
+        if self.is_stored:
+            return self.book.filter(F.col("last_txn_date").isNotNull())
+        return profile.with_money(activity.period_totals(self.transactions, self.cfg))
+
+    def _active(self) -> DataFrame:
+        return self.book.filter(F.col("txn_count_90d") > 0)
 
     def revenue_by_period(self) -> DataFrame:
-        totals = activity.period_totals(self.transactions, self.cfg)
-        return profile.with_money(totals).select(
-            "customer_id", "revenue_ltm", "revenue_90d", "revenue_prior_90d"
-        )
+        return self._totals().select("customer_id", "revenue_ltm", "revenue_90d", "revenue_prior_90d")
 
     def activity_by_period(self) -> DataFrame:
-        totals = activity.period_totals(self.transactions, self.cfg)
-        return profile.with_money(totals).select(
+        return self._totals().select(
             "customer_id",
             "txn_count_90d",
             "txn_count_prior_90d",
@@ -125,20 +130,27 @@ class Portfolio:
         )
 
     def product_usage(self) -> DataFrame:
-        return activity.current_usage(self.transactions, self.cfg).select(
-            "customer_id", "products_active"
-        )
+        used = self._active() if self.is_stored else activity.product_count(self.transactions, self.cfg)
+        return used.select("customer_id", "products_active")
 
     def channel_usage(self) -> DataFrame:
-        # Channels need no product, whether or not the transactions have one.
-        facts = self.transactions.withColumn("product_id", F.lit(None).cast("string"))
-        return activity.current_usage(facts, self.cfg).select(
+        used = self._active() if self.is_stored else activity.channel_mix(self.transactions, self.cfg)
+        return used.select(
             "customer_id",
             F.col("txn_count_90d").alias("total_txns_90d"),
             F.col("digital_txns").alias("digital_txns_90d"),
-            "primary_channel",
+            # The book shows a word where nothing is known.
+            F.nullif("primary_channel", F.lit(c.NO_CHANNEL)).alias("primary_channel"),
         )
 
+    def rfm(self) -> DataFrame:
+        """Recency and its three scores of the listed customers: one aggregate, no product or channel."""
+        if self.is_stored:
+            return self.profile
+        df = profile.open_book(self.customers, activity.period_totals(self.transactions, self.cfg))
+        df = profile.with_recency(profile.with_money(df), self.cfg)
+        return profile.with_rfm(df, self.cfg).filter("is_listed")
+
     def ltm_revenue(self) -> DataFrame:
         if self.is_stored:
             return concentration.earners(self.book).select("customer_id", "revenue_ltm")

@@ -178,14 +178,19 @@ def _validated(spark: SparkSession, folder: str) -> DataFrame:
     return found.join(counts, "table_name", "left").fillna(0, ["row_count"])
 
 
+MANAGERS = ["RM003", "RM007"]
+
+
+def _with_early_warning(book: Portfolio) -> Portfolio:
+    return Portfolio(book.customers, book.transactions, replace(book.cfg, early_warning=True))
+
+
 _PROFILE_QUERIES: dict[str, Callable[[Portfolio], DataFrame]] = {
     "customer_360": Portfolio.customer_360,
     "product_usage": Portfolio.product_usage,
     "engagement_inputs": _columns(
         "products_active", "product_depth_pct", "primary_channel", "digital_txn_pct"
     ),
-    "rfm_scores": _columns("rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score"),
-    "recency": _columns("days_since_last_txn"),
     "customer_health": Portfolio.customer_health,
     "prior_health": _columns("prior_health_score"),
     "concentration": Portfolio.concentration,
@@ -249,6 +254,12 @@ _PROFILE_QUERIES: dict[str, Callable[[Portfolio], DataFrame]] = {
     "early_warning": findings.early_warning,
     "trend_shares": findings.trend_shares,
     "p1_shortfall": findings.p1_shortfall,
+    "dormancy_tiers": findings.dormancy_tiers,
+    "exc_healthy_deteriorating": lambda book: _with_early_warning(book).exceptions_of(c.EARLY_WARNING),
+    "exceptions_with_early_warning": lambda book: _with_early_warning(book).exceptions(),
+    "explorer_by_manager": lambda book: serving.customer_explorer(book, managers=MANAGERS),
+    "explorer_kpis_by_manager": lambda book: serving.explorer_kpis(book, managers=MANAGERS),
+    "feed_by_manager": lambda book: serving.exception_feed(book, managers=MANAGERS),
     "health_history": history.health_history,
     "health_trend_6m": history.health_trend,
 }
@@ -258,6 +269,10 @@ _MOVEMENT_QUERIES: dict[str, Callable[[Portfolio], DataFrame]] = {
     "revenue_by_period": Portfolio.revenue_by_period,
     "activity_by_period": Portfolio.activity_by_period,
     "channel_usage": Portfolio.channel_usage,
+    "rfm_scores": lambda book: book.rfm().select(
+        "customer_id", "rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score"
+    ),
+    "recency": lambda book: book.rfm().select("customer_id", "days_since_last_txn"),
     "period_deltas": lambda book: book.movement.select(
         "customer_id", "revenue_delta_pct", "txn_delta_pct"
     ),
@@ -309,6 +324,8 @@ _REGION_QUERIES = {
     "customer_explorer_filtered",
     "explorer_kpis",
     "explorer_kpis_filtered",
+    "explorer_by_manager",
+    "explorer_kpis_by_manager",
     "explorer_table",
     "workbook_counts",
     "workbook_table",

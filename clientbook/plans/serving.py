@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from clientbook import config as c
-from clientbook.config import EXCEPTION_TYPES
 from clientbook.functions.money import share_pct
 from clientbook.functions.rules import optional_filters, position
 from clientbook.operators import concentration, exceptions, ranking
@@ -136,10 +135,7 @@ def top_customers_chart(book: Portfolio, n: int = 10, label_chars: int = 28) ->
 
     The label is the beginning of the name, ``label_chars`` long at most.
     """
-    rows = concentration.rungs(views.ladder_source(book))
-    ranked = ranking.rank_and_accumulate(
-        rows, "revenue_ltm", "customer_id", is_stored=book.is_stored
-    )
+    ranked = concentration.top_of_ladder(views.ladder_source(book), n, book.is_stored)
     return (
         ranked.filter("is_listed")
         .orderBy("revenue_rank")
@@ -185,6 +181,7 @@ def customer_explorer(
     health_categories: Choice = None,
     health_trends: Choice = None,
     action_types: Choice = None,
+    managers: Choice = None,
 ) -> DataFrame:
     """All customers matching the optional choices, largest long-window revenue first."""
     chosen = optional_filters(
@@ -192,6 +189,7 @@ def customer_explorer(
         health_category=health_categories,
         health_trend=health_trends,
         action_type=action_types,
+        assigned_rm=managers,
     )
     ordered = (
         explorer_rows(book)
@@ -207,6 +205,7 @@ def explorer_kpis(
     health_categories: Choice = None,
     health_trends: Choice = None,
     action_types: Choice = None,
+    managers: Choice = None,
 ) -> DataFrame:
     """Headline figures of a filtered set against the whole portfolio, in one pass."""
     chosen = optional_filters(
@@ -214,6 +213,7 @@ def explorer_kpis(
         health_category=health_categories,
         health_trend=health_trends,
         action_type=action_types,
+        assigned_rm=managers,
     )
     everyone = F.count(F.lit(1))
     picked = F.count_if(chosen)
@@ -246,9 +246,9 @@ def explorer_kpis(
 
 
 def exception_feed(
-    book: Portfolio, severities: Choice = None, exception_types: Choice = None
+    book: Portfolio, severities: Choice = None, exception_types: Choice = None, managers: Choice = None
 ) -> DataFrame:
-    chosen = optional_filters(severity=severities, exception_type=exception_types)
+    chosen = optional_filters(severity=severities, exception_type=exception_types, assigned_rm=managers)
     return views.exception_feed(book).filter(chosen)
 
 
@@ -330,12 +330,15 @@ def action_matrix(book: Portfolio) -> DataFrame:
 
 
 def priority_agenda(book: Portfolio) -> DataFrame:
-    """What to do first and for how many customers: one aggregate, laid out as rows."""
+    """What to do first and for how many customers: one aggregate, laid out as rows.
+
+    The lines' order and owners are fixed values.
+    """
     action, priority = F.col("action_type"), F.col("priority")
     items = [
         (c.P1, c.RETAIN, "Senior RM", (action == c.RETAIN) & (priority == c.P1)),
         (c.P2, c.RETAIN, "RM Team", (action == c.RETAIN) & (priority == c.P2)),
-        (c.P2, "Exceptions", "RM Ops", exceptions.raises(book.cfg, EXCEPTION_TYPES[-1])),
+        (c.P2, "Exceptions", "RM Ops", exceptions.raises(book.cfg, "SEGMENT DOWNGRADE")),
         (c.P3, c.REACTIVATE, "RM Team", action == c.REACTIVATE),
         (c.P3, c.REVIEW, "RM Team", action == c.REVIEW),
         (c.P3, c.CROSS_SELL, "RM Team", action == c.CROSS_SELL),

@@ -12,6 +12,7 @@ from clientbook.functions.rules import position
 from clientbook.operators import concentration
 from clientbook.plans.portfolio import Portfolio
 
+# The views' names; their columns below are fixed as well, in name and order.
 VIEW_NAMES = (
     "v_executive_summary",
     "v_customer_watchlist",
@@ -113,7 +114,7 @@ def concentration_ladder(book: Portfolio, slices: int | None = None) -> DataFram
 
 def top_of_ladder(book: Portfolio, n: int) -> DataFrame:
     """The first ``n`` listed customers of the same ladder, with their ranks among all earners."""
-    return concentration_ladder(book).limit(n)
+    return _ladder_layout(concentration.top_of_ladder(ladder_source(book), n, book.is_stored)).limit(n)
 
 
 def health_heatmap(book: Portfolio) -> DataFrame:

@@ -157,3 +157,15 @@ def conform(df: DataFrame, schema: T.StructType, keep_key_type: str | None = Non
             for f in schema.fields
         ]
     )
+
+
+def typed(df: DataFrame, schema: T.StructType, keep_key_type: str) -> DataFrame:
+    """Columns of ``df`` that the schema declares, cast to their types; others are left as they are.
+
+    A column of the right type is left alone, so nothing stands between a filter on it and the scan.
+    """
+    kinds = {f.name: f.dataType for f in schema if f.name != keep_key_type}
+    casts = {
+        f.name: F.col(f.name).cast(kinds[f.name]) for f in df.schema if f.name in kinds and f.dataType != kinds[f.name]
+    }
+    return df.withColumns(casts) if casts else df

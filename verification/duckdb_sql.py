@@ -133,6 +133,12 @@ _ALERTS = " UNION ALL ".join(
     ]
 )
 
+_EARLY_WARNING = """SELECT *, 'HEALTHY DETERIORATING' AS exception_type, 'EXC_HLTDET_' || customer_id AS exception_id,
+ if(key_client OR ltm_p >= 200000, 'P2', 'P3') AS severity,
+ 'Health score ' || CAST(CAST(score1 AS DECIMAL(5,0)) / 10 AS DECIMAL(5,1)) || ', still 70 or more, but 5 or more points down.' AS description,
+ 'Act before the score passes 70: compare counts and revenue of both periods.' AS recommended_action
+ FROM acted WHERE health_category = 'Healthy' AND worse"""
+
 _STAR_INPUTS = """
 WITH people AS (
   SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS customer_type,
@@ -565,6 +571,17 @@ def oracle_sql() -> dict[str, str]:
         "publish": _select("acted", _360),
         "publish_rerun": _select("acted", _360),
         "publish_incremental": _select("acted", _360),
+        "dormancy_tiers": _select(
+            f"""(SELECT *, if(days_since_last_txn = 999, 'Never active', if(days_since_last_txn <= {CFG.window_days + 29}, 'Newly dormant',
+ if(days_since_last_txn < {2 * CFG.window_days}, 'Recently dormant', 'Long-term dormant'))) AS tier FROM acted WHERE segment = 'Dormant')""",
+            f"tier; count(*) > customers#; min(days_since_last_txn) > least_days#; max(days_since_last_txn) > most_days#; {_units('sum(ltm_p)', 2)} > revenue_ltm~",
+            tail=" GROUP BY tier",
+        ),
+        "exc_healthy_deteriorating": _select(f"({_EARLY_WARNING})", _ALERT),
+        "exceptions_with_early_warning": _select(f"(FROM alerts UNION ALL BY NAME {_EARLY_WARNING})", _ALERT),
+        "explorer_by_manager": _select("acted", _EXPLORE, "assigned_rm IN ('RM003', 'RM007')"),
+        "explorer_kpis_by_manager": _explorer_kpis("assigned_rm IN ('RM003', 'RM007')"),
+        "feed_by_manager": _select("alerts", _FEED, "assigned_rm IN ('RM003', 'RM007')"),
         # history
         "health_history": _select(
             "scored",
