@@ -27,6 +27,22 @@ def segments(text: str) -> list[str]:
     return [first, *pieces] if first else pieces
 
 
+# A plain word, or what follows it up to the next space after a character that is no white space. After a word stands
+# such a space or a character no word begins with, so a word is only ever found at the beginning of a piece.
+_PARTS = re.compile(rf" ?[{LATIN}]+(?=[\x00-@\[-`{{-\x7f]|\Z)|(?: +[^ ]*|[^ ]+)(?:(?<=\s) +[^ ]*)*")
+_PLAIN = re.compile(rf" ?[{LATIN}]+")
+
+
+def parts(text: str) -> list[str]:
+    """The words and rests of all pieces in order; each can be encoded on its own."""
+    return _PARTS.findall(text)
+
+
+def is_word(part: str) -> bool:
+    """Whether a part is one plain word, with or without a space in front: one match of the pattern."""
+    return _PLAIN.fullmatch(part) is not None
+
+
 def word_and_rest(piece: str) -> tuple[str, str]:
     """The word a piece begins with, and what follows; encodings of both joined are the piece's.
 
@@ -51,8 +67,11 @@ class Memo(dict):
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the unknown ones of some pieces in one call."""
-        old, longest = self.old, self.longest
-        new = [p for p in pieces if p not in self and p not in old and len(p) <= longest]
+        longest = self.longest
+        new = pieces.difference(self)
+        if self.old:
+            new.difference_update(self.old)
+        new = [p for p in new if len(p) <= longest]
         if new:
             self._make_room(len(new))
             self.update(zip(new, self.encode(new), strict=True))

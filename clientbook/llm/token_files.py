@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientbook.llm.common import slices, table
-from clientbook.llm.segments import LATIN, Memo, segments, word_and_rest
+from clientbook.llm.segments import LATIN, Memo, is_word, parts
 from clientbook.operators.staging import shared_folder
 
 END = 0
@@ -40,7 +40,7 @@ _encoders: dict[tuple[str, bool], Memo] = {}
 
 
 def _encoder(model: str, path: str, special: bool) -> Memo:
-    """Piece to its ids as little-endian 32-bit integers; kept while the worker lives.
+    """Word or rest to its ids as little-endian 32-bit integers; kept while the worker lives.
 
     A plain word is one match of the tokenizer's pattern, so its spelling in the byte alphabet goes
     to the tokenizer's model at once; everything else goes through the whole tokenizer.
@@ -62,15 +62,14 @@ def _encoder(model: str, path: str, special: bool) -> Memo:
             found = tokenizer.encode_batch_fast(rests, add_special_tokens=False)
             return [array("I", x.ids).tobytes() for x in found]
 
-        words, rests = Memo(encode_words, most=300_000), Memo(encode_rests, most=100_000)
+        def encode_parts(new: list[str]) -> list[bytes]:
+            words = [part for part in new if is_word(part)]
+            rests = [part for part in new if not is_word(part)]
+            found = dict(zip(words, encode_words(words), strict=True))
+            found.update(zip(rests, encode_rests(rests), strict=True))
+            return [found[part] for part in new]
 
-        def encode_pieces(pieces: list[str]) -> list[bytes]:
-            cut = [word_and_rest(piece) for piece in pieces]
-            words.learn({word for word, _ in cut})
-            rests.learn({rest for _, rest in cut})
-            return [words[word] + rests[rest] for word, rest in cut]
-
-        _encoders[key] = Memo(encode_pieces)
+        _encoders[key] = Memo(encode_parts, most=400_000)
     return _encoders[key]
 
 
@@ -88,8 +87,8 @@ def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> D
         known = _encoder(shared.value, model_path, special)
         for batch in batches:
             for part in slices(batch, "text"):
-                cut = [segments(text or "") for text in part.column(1).to_pylist()]
-                known.learn({piece for pieces in cut for piece in pieces})
+                cut = [parts(text or "") for text in part.column(1).to_pylist()]
+                known.learn(set().union(*cut))
                 rows = [b"".join(map(known.__getitem__, pieces)) + end for pieces in cut]
                 counts = np.array([len(row) // 4 for row in rows], dtype=np.int64)
                 at = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
