@@ -2,16 +2,16 @@
 
 Deliberately a different calculation: money is counted in whole pennies and percentages in
 whole tenths or hundredths, with integer rounding throughout, where the Spark side uses
-decimals. Only constants (thresholds, labels, texts) are shared with the library.
+decimals. Constants (thresholds, labels, texts) are its own.
 """
 
 from __future__ import annotations
 
-from clientbook import config as c
-from clientbook.config import EVENT_CONFIG as EVENTS
-from clientbook.config import STAR_SCHEMA_CONFIG as CFG
-from clientbook.config import Scale
+from types import SimpleNamespace
 
+from verification import constants as c
+
+CFG, EVENTS = c.STAR, c.EVENTS
 S = CFG.snapshot_date
 
 
@@ -33,7 +33,7 @@ def _units(expression: str, digits: int) -> str:
     return f"CAST({expression} AS DOUBLE) / {10**digits}"
 
 
-def _scale(value: str, scale: Scale, factor: int = 1) -> str:
+def _scale(value: str, scale: SimpleNamespace, factor: int = 1) -> str:
     ops = {"==": "="}
     arms = " ".join(
         f"WHEN {value} {ops.get(s.op, s.op)} {int(s.bound * factor)} THEN {_lit(s.result)}"
@@ -54,7 +54,7 @@ def _day(day) -> str:
     return f"DATE '{day.isoformat()}'"
 
 
-_A, _X = CFG.action_texts, CFG.exception_texts
+_A, _X = c.ACTION_TEXTS, c.EXCEPTION_TEXTS
 
 _DECISION_ROWS = ", ".join(
     f"('{segment}', '{state}', '{action}')"
@@ -204,8 +204,8 @@ measured AS (
     {_scale('days_since_last_txn', cfg.recency_score)} AS rfm_recency_score,
     {_scale('n_current', c.FREQUENCY_SCORE)} AS rfm_frequency_score,
     {_scale('ltm_p', c.MONETARY_SCORE, 100)} AS rfm_monetary_score,
-    if(n_current = 0, 'Inactive', if(n_prior = 0, 'New', if(n_current * 100 >= n_prior * {int(cfg.growing_ratio * 100)}, 'Growing',
-      if(n_prior >= {cfg.declining_min_prior} AND n_current * 100 <= n_prior * {int(cfg.declining_ratio * 100)}, 'Declining', 'Stable')))) AS activity_trend
+    if(n_current = 0, 'Inactive', if(n_prior = 0, 'New', if(n_current * 100 >= n_prior * {round(cfg.growing_ratio * 100)}, 'Growing',
+      if(n_prior >= {cfg.declining_min_prior} AND n_current * 100 <= n_prior * {round(cfg.declining_ratio * 100)}, 'Declining', 'Stable')))) AS activity_trend
   FROM base
 ),
 segmented AS (
