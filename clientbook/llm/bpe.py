@@ -155,16 +155,16 @@ class Codec:
         self.folder = Folder(ranks)
         self.known = Memo(self._parts, most)
 
-    def _parts(self, new: list[str]) -> list[tuple[int, ...]]:
+    def _parts(self, new: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words and rests: all their matches are folded together."""
         cut = [[part] if is_word(part) else self.match.findall(part) for part in new]
         folded = iter(self.folder.fold([match.encode("utf-8") for matches in cut for match in matches]))
-        return [tuple(chain.from_iterable(islice(folded, len(matches)))) for matches in cut]
+        return {part: tuple(chain.from_iterable(islice(folded, len(matches)))) for part, matches in zip(new, cut, strict=True)}
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text; what is not known yet of all of them is folded in one go."""
         known, cut = self.known, [parts(text or "") for text in texts]
-        known.learn(set().union(*cut))
+        known.learn(cut)
         return [list(chain.from_iterable(map(known.__getitem__, found))) for found in cut]
 
     def encode(self, text: str | None) -> list[int]:

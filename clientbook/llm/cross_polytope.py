@@ -160,7 +160,8 @@ def _links(groups: list[pa.RecordBatch]) -> pa.RecordBatch:
         if not n or not looked:
             continue
         if n * looked > 4096:
-            i, j = np.nonzero(units[start : start + n] @ units[start + n : stop].T >= LEAST_COSINE)
+            # The product rounds differently: what it leaves out must be clearly below the threshold.
+            i, j = np.nonzero(units[start : start + n] @ units[start + n : stop].T >= LEAST_COSINE - 1e-9)
             a, b = start + i, start + n + j
         else:
             a = np.repeat(np.arange(start, start + n), looked)

@@ -76,7 +76,8 @@ def plan(documents: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFram
     """``documents`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_copies``.
 
     A null text has no words and is taken as often as others of its source; a source
-    without words has the rate 0. Rows that repeat a document id share one decision. ``targets``
+    without words has the rate 0. Rows that repeat a document id share one decision; rows without an
+    id are told apart by their texts. ``targets``
     should be a stored table: its known size then decides whether it is broadcast.
     """
     named = targets.select(
@@ -88,7 +89,8 @@ def plan(documents: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFram
         F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")
     ).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    extra = uniform(seed, F.col("doc_id")) < rate - whole
+    by_text = F.concat(F.lit(":"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    extra = uniform(seed, F.coalesce(F.col("doc_id").cast("string"), by_text)) < rate - whole
     return (
         documents.withColumn("mix_size", words_in(F.col("text")))
         .join(named, F.col("source").eqNullSafe(F.col("mix_source")))
@@ -123,7 +125,7 @@ def query(spark, folder: str) -> DataFrame:
 
 SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+  SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), ':' || sha256(coalesce(text, ''))) AS drawn_by, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
   FROM documents),
 sources AS (
   SELECT source, sum(size) AS source_size,
@@ -150,7 +152,7 @@ targets AS (
 rated AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-    CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE)
+    CAST(CAST('0x' || substr(md5('mix:' || s.drawn_by), 1, 13) AS BIGINT) AS DOUBLE)
       / 4503599627370496.0 AS u
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import chain, filterfalse
 
 # A space inside a longer run of white space, which the plain cut would split.
 _RUN = re.compile(r"\s (?:\s|\Z)|\s ")
@@ -55,26 +56,27 @@ def word_and_rest(piece: str) -> tuple[str, str]:
 
 
 class Memo(dict):
-    """What ``encode`` makes of each of a list of pieces, worked out once while it is kept.
+    """What ``encode`` makes of each of a list of pieces (a dictionary), worked out once while it is kept.
 
     Two generations bound the memory: when the young one is full it replaces the old one.
     Pieces over ``longest`` characters are not kept.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 200_000, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], dict], most: int = 200_000, longest: int = 64):
         super().__init__()
         self.encode, self.most, self.longest, self.old = encode, most, longest, {}
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the unknown ones of some pieces in one call."""
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode the unknown ones of the pieces of some texts in one call."""
         longest = self.longest
-        new = pieces.difference(self)
+        # Most pieces are known: only the others are ever put in a set.
+        new = set(filterfalse(self.__contains__, chain.from_iterable(texts)))
         if self.old:
             new.difference_update(self.old)
         new = [p for p in new if len(p) <= longest]
         if new:
             self._make_room(len(new))
-            self.update(zip(new, self.encode(new), strict=True))
+            self.update(self.encode(new))
 
     def _make_room(self, more: int) -> None:
         if len(self) + more > self.most:
@@ -84,7 +86,7 @@ class Memo(dict):
     def __missing__(self, piece: str):
         found = self.old.get(piece)
         if found is None:
-            (found,) = self.encode([piece])
+            found = self.encode([piece])[piece]
             if len(piece) > self.longest:
                 return found
         self._make_room(1)

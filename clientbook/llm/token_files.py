@@ -34,6 +34,7 @@ WRITE_OPTIONS = {
     "parquet.enable.dictionary": "true",
     "parquet.writer.version": "PARQUET_2_0",
     "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
 }
 
 _encoders: dict[tuple[str, bool], Memo] = {}
@@ -62,12 +63,13 @@ def _encoder(model: str, path: str, special: bool) -> Memo:
             found = tokenizer.encode_batch_fast(rests, add_special_tokens=False)
             return [array("I", x.ids).tobytes() for x in found]
 
-        def encode_parts(new: list[str]) -> list[bytes]:
-            words = [part for part in new if is_word(part)]
-            rests = [part for part in new if not is_word(part)]
+        def encode_parts(new: list[str]) -> dict[str, bytes]:
+            words, rests = [], []
+            for part in new:
+                (words if is_word(part) else rests).append(part)
             found = dict(zip(words, encode_words(words), strict=True))
             found.update(zip(rests, encode_rests(rests), strict=True))
-            return [found[part] for part in new]
+            return found
 
         _encoders[key] = Memo(encode_parts, most=400_000)
     return _encoders[key]
@@ -88,7 +90,7 @@ def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> D
         for batch in batches:
             for part in slices(batch, "text"):
                 cut = [parts(text or "") for text in part.column(1).to_pylist()]
-                known.learn(set().union(*cut))
+                known.learn(cut)
                 rows = [b"".join(map(known.__getitem__, pieces)) + end for pieces in cut]
                 counts = np.array([len(row) // 4 for row in rows], dtype=np.int64)
                 at = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)

@@ -1,0 +1,93 @@
+"""Rows that must not get lost: repeated ids, rows without ids, pairs on the threshold, long words."""
+
+from __future__ import annotations
+
+import random
+import time
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from clientbook.llm import bpe, cross_polytope, mixing
+from clientbook.llm.segments import parts, segments, word_and_rest
+
+LONG = " ".join(f"w{i}" for i in range(300))
+
+
+def test_near_duplicates_of_a_repeated_id_leave_its_other_texts(spark):
+    rows = [(1, LONG), (2, LONG + " end"), (2, "a clean text of its own"), (3, "x y z"), (3, "p q r"), (3, "p q r"), (None, LONG), (None, None), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, LONG), (2, "a clean text of its own"), (3, "x y z"), (3, "p q r"), (None, LONG), (None, None), (4, None)], key=repr)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.filter("false"), "").collect() == []
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"text number {i} of one source", "a") for i in range(600)] + [(i, "some words here", "b") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    planned = mixing.plan(docs, mixing.source_targets(docs)).collect()
+    for source in "ab":
+        mine = [r for r in planned if r.source == source]
+        taken = sum(r.mix_size * r.mix_copies for r in mine)
+        assert abs(taken - mine[0].mix_target) < 0.15 * mine[0].mix_target
+    again = mixing.plan(docs.repartition(7), mixing.source_targets(docs)).collect()
+    assert sorted((r.text, r.mix_copies) for r in again) == sorted((r.text, r.mix_copies) for r in planned)
+
+
+def test_large_groups_are_cut_below_the_threshold_and_judged_at_it(spark):
+    """200 vectors at a cosine of exactly 0.9, as doubles judge it, from 200 equal directions."""
+    draw = np.random.default_rng(1)
+    base = np.zeros(8)
+    base[0] = 1.0
+    rows = [base]
+    for _ in range(200):
+        side = draw.normal(size=8)
+        side[0] = 0
+        rows.append(0.9 * base + np.sqrt(1 - 0.81) * side / np.linalg.norm(side))
+    vectors = [r.tolist() for r in rows]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<double>")
+    units = cross_polytope.unit(np.array(vectors))
+    wanted = {i: int(sum(np.einsum("i,i->", units[i], units[j]) >= 0.9 for j in range(len(units)) if j != i)) for i in range(len(units))}
+    found = {r.vec_id: r.n_links for r in cross_polytope.near_duplicates(df).collect()}
+    # Recall is a matter of the hashes; what is found must not exceed what is there.
+    assert all(found[i] <= wanted[i] for i in wanted)
+    assert sum(found.values()) >= 0.9 * sum(wanted.values())
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return bpe.default_table(spark)
+
+
+def test_a_word_of_a_million_letters(table):
+    ranks, _ = table
+    start = time.process_time()
+    ids = bpe.fold(bytes(random.Random(1).choices(b"abcdefghij", k=1_000_000)), ranks)
+    assert 100_000 < len(ids) < 1_000_000 and time.process_time() - start < 60
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_folding_many_words_equals_folding_one(table, seed):
+    ranks, _ = table
+    draw = random.Random(seed)
+    words = ["".join(draw.choices(" abcdeéßth中'🙂", k=draw.randint(0, 30))).encode() for _ in range(3000)]
+    words = [w for w in words if w]
+    assert bpe.Folder(ranks).fold(words) == [tuple(bpe.fold(w, ranks)) for w in words]
+
+
+def test_codec_equals_the_library(table):
+    tiktoken = pytest.importorskip("tiktoken")
+    ranks, pattern = table
+    library = tiktoken.Encoding("x", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    letters = ["a", "b", "é", "ß", "中", " ", "  ", "\n", "\t", "'s", "'", "(", ")", "1", "23", ".", "!", "\x1c", "Ā", "ʼ", "_", "`", "{", "🙂", "\r\n", " x", "the"]
+    draw = random.Random(7)
+    texts = ["".join(draw.choices(letters, k=draw.randint(0, 14))) for _ in range(6000)] + ["x" * 5000, None]
+    codec = bpe.Codec(ranks, pattern)
+    for text, ids in zip(texts, codec.encode_all(texts), strict=True):
+        assert ids == library.encode_ordinary(text or "")
+        assert codec.decode(ids) == (text or "").encode()
+    for text in texts[:-1]:
+        assert parts(text) == [p for piece in segments(text) for p in word_and_rest(piece) if p]

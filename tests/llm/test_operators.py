@@ -135,11 +135,6 @@ def test_lists_judge_by_the_day_of_the_fetch(spark):
     assert url_lists.judge(captures, changes.filter("false")).filter("list_blocked").count() == 0
 
 
-def _winnow(text):
-    base, prime = winnowing._BASE, winnowing._PRIME
-    return len(WORD.findall(text or "")), base, prime
-
-
 def test_winnowing_order_edits_and_guarantee(docs, nothing):
     found = winnowing.compared(docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
     rows = {r.doc_id: r for r in found.collect()}
