@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from clientbook.llm import bpe, line_crf, minhash, mixing, toxicity
 from clientbook.llm.common import table
 from clientbook.llm.fitting import training_sample
-from clientbook.operators.staging import shared_folder
+from clientbook.operators.staging import shared_folder, staged
 
 #: SQL can express neither the two classifiers nor byte-pair merges.
 ORACLE_SQL = None
@@ -29,38 +29,62 @@ def _by_score(spark: SparkSession, docs: DataFrame, sf_dir: str, module, label:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below the threshold; empty ones stay."""
+    """Documents whose toxicity is below the threshold; null and empty texts stay.
+
+    Each row is judged by its own text, so repeated rows and rows without an id go or stay on their own.
+    """
     return _by_score(spark, docs, sf_dir, toxicity, "toxic").filter(F.col(_MARK) < toxicity.THRESHOLD).drop(_MARK)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of good quality; empty ones score the threshold itself and stay."""
+    """Documents of good quality; null and empty texts score the threshold itself and stay.
+
+    Each row is judged by its own text, so repeated rows and rows without an id go or stay on their own.
+    """
     return _by_score(spark, docs, sf_dir, line_crf, "quality").filter(F.col(_MARK) >= line_crf.THRESHOLD).drop(_MARK)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id.
 
-    Rows without an id are kept. Of rows that repeat an id one stays.
+    Rows without an id are kept. Rows that repeat an id and its text are one document. Rows that repeat an id
+    with other texts are documents of their own, which come after those whose id is theirs alone.
     """
+    marked = _told_apart(docs)
     gone = (
-        minhash.near_duplicates(docs.select("doc_id", "text"))
+        minhash.near_duplicates(marked.select(F.col(_MARK).alias("doc_id"), "text"))
         .filter("NOT kept")
-        .select(F.col("doc_id").alias(_MARK))
+        .select(F.col("doc_id").alias("pipeline_gone"))
     )
-    left = docs.join(gone, F.col("doc_id") == F.col(_MARK), "left_anti")
+    left = marked.join(gone, F.col(_MARK) == F.col("pipeline_gone"), "left_anti")
     # A null id is no id: such rows must not be taken for one document.
-    named = left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(left.filter("doc_id IS NULL"))
+    named = left.filter(F.col(_MARK).isNotNull()).dropDuplicates([_MARK])
+    return named.unionByName(left.filter(F.col(_MARK).isNull())).select(*[F.col(f"`{name}`") for name in docs.columns])
+
+
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with an id per text: the document's own, or one from id and text where its id has several texts."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    several = staged(
+        docs.filter("doc_id IS NOT NULL")
+        .select("doc_id", F.xxhash64(text).alias("hash"))
+        .groupBy("doc_id")
+        .agg(F.min("hash").alias("least"), F.max("hash").alias("most"))
+        .filter("least <> most")
+        .select(F.col("doc_id").alias("pipeline_several"))
+    )
+    own = F.xxhash64("doc_id", text).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
+    mark = F.when(F.col("pipeline_several").isNotNull(), own).otherwise(F.col("doc_id").cast("bigint"))
+    return docs.join(several, F.col("doc_id") == F.col("pipeline_several"), "left").withColumn(_MARK, mark).drop("pipeline_several")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; a null source is a source, a null text has no words."""
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row; null and empty texts have no ids."""
     return bpe.digests(docs, *bpe.default_table(spark))
 
 
