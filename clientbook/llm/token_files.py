@@ -54,10 +54,15 @@ def _encoder(model: str, path: str, special: bool) -> Memo:
         tokenizer = Tokenizer.from_str(model)
         tokenizer.encode_special_tokens = not special
         merges, spell = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        space = spell(" ")[0][0]
         alphabet = {i: spell(chr(i))[0][0] for i in range(0x20, 0x250) if re.match(f"[ {LATIN}]", chr(i))}
 
+        def spelled(word: str) -> str:
+            # Of an ASCII word only the space is spelled otherwise.
+            return word.replace(" ", space) if word.isascii() else word.translate(alphabet)
+
         def encode_words(words: list[str]) -> list[bytes]:
-            return [array("I", [x.id for x in merges(word.translate(alphabet))]).tobytes() for word in words]
+            return [array("I", [x.id for x in merges(spelled(word))]).tobytes() for word in words]
 
         def encode_rests(rests: list[str]) -> list[bytes]:
             found = tokenizer.encode_batch_fast(rests, add_special_tokens=False)
@@ -71,7 +76,7 @@ def _encoder(model: str, path: str, special: bool) -> Memo:
             found.update(zip(rests, encode_rests(rests), strict=True))
             return found
 
-        _encoders[key] = Memo(encode_parts, most=400_000)
+        _encoders[key] = Memo(encode_parts, most=600_000)
     return _encoders[key]
 
 
@@ -94,7 +99,8 @@ def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> D
                 rows = [b"".join(map(known.__getitem__, pieces)) + end for pieces in cut]
                 counts = np.array([len(row) // 4 for row in rows], dtype=np.int64)
                 at = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(rows), dtype="<i4"))
+                joined = b"".join(rows)
+                values = pa.Array.from_buffers(pa.int32(), len(joined) // 4, [None, pa.py_buffer(joined)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(counts), pa.ListArray.from_arrays(pa.array(at), values)],
                     names=["doc_id", "n_tokens", "ids"],
@@ -147,8 +153,8 @@ def checksums(read: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(4)
             at = np.asarray(ids.offsets)
-            values = np.asarray(ids.values).astype("<u4", copy=False)
-            sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
+            values = np.asarray(ids.values).view("<u4")
+            sums = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             counts = pa.array(np.diff(at).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), counts, batch.column(2), batch.column(3), pa.array(sums, pa.int64())],
