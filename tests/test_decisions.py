@@ -160,14 +160,14 @@ def test_identifiers_and_texts(book):
     rows = {r.exception_id: r for r in book.exceptions().collect()}
     assert len(rows) == 21
     assert rows["EXC_REVDEC_decline-40"].description == (
-        "Fee revenue down 40% on the prior period, now £61."
+        "Fee revenue 40% under the prior period (limit 20%): £61 left."
     )
-    assert rows["EXC_REVDEC_three"].description.startswith("Fee revenue down 56%")
+    assert rows["EXC_REVDEC_three"].description.startswith("Fee revenue 56% under")
     assert rows["EXC_CLIFF_cliff-5"].description == (
-        "Transactions down 40% on the prior period, from 5 to 3."
+        "3 transactions after 5: 40% fewer (limit 40%)."
     )
-    assert rows["EXC_VIPDET_growth-det"].description.startswith("Growth client")
-    assert rows["EXC_DOWN_down-dormant-vip"].description.startswith("Moved from VIP to Dormant")
+    assert rows["EXC_VIPDET_growth-det"].description.startswith("Growth: health score 5")
+    assert rows["EXC_DOWN_down-dormant-vip"].description.startswith("Segment VIP became Dormant")
     assert {r.assigned_rm for r in rows.values()} == {"RM001"}
 
 
