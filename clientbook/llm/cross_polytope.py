@@ -7,14 +7,16 @@ up in PROBES buckets: its own and those whose vertices are next nearest. Candida
 by their cosine in double precision.
 
 Equal vectors are one class before anything is hashed. Large buckets are cut into blocks that are
-compared block by block, so no task holds a bucket. Pairs are not written out: each task counts, for
+compared block by block, so no task holds a bucket. Bucket rows carry the vector's number and a sketch of
+128 signs; blocks are first compared by sketch, and only rows with a possible partner in their block
+fetch their vectors. Pairs are not written out: each task counts, for
 each vector, the links it is the first to find (tables and probes have an order, and the hashes of
 both vectors tell whether an earlier one finds the pair), and gives the links' local components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +34,19 @@ LEAST_COSINE = 0.9
 #: Vectors per block of a bucket that is compared at once.
 BLOCK = 512
 _PAIRS = 1 << 19
+#: Of 128 random planes a pair at the threshold has 18 between its vectors on average; more than 44 with a
+#: probability under 1e-8, unrelated vectors 44 or fewer with one of 3e-4.
+_MOST_APART = 44
+
+
+@lru_cache(maxsize=4)
+def _planes(dims: int) -> np.ndarray:
+    return np.random.default_rng([dims, 128]).normal(size=(dims, 128))
+
+
+def sketches(units: np.ndarray) -> np.ndarray:
+    """(vectors, 2) 64-bit words: on which side of each random plane a vector lies."""
+    return np.packbits(units @ _planes(units.shape[1]) >= 0, axis=1).view(np.int64)
 
 
 @lru_cache(maxsize=4)
@@ -94,37 +109,60 @@ def usable(embedding: str) -> Column:
 
 
 def _hashed(vectors: DataFrame) -> DataFrame:
-    """(bucket, role, node, weight, embedding): role 0 stored, 1 looked up; one row each per bucket."""
+    """(bucket, role, node, sketch_a, sketch_b): role 0 stored, 1 looked up; one row each per bucket."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), 1024):
                 part = batch.slice(start, 1024)
-                rows = part.column(2)
+                rows = part.column(1)
                 sizes = rows.value_lengths().to_numpy()
                 for dims in np.unique(sizes):
-                    mine = np.flatnonzero(sizes == dims)
-                    chosen = part.take(pa.array(mine))
-                    found = buckets(unit(np.stack(chosen.column(2).to_numpy(zero_copy_only=False)).astype(float)))
-                    found = found * 4096 + dims % 4096
+                    chosen = part.take(pa.array(np.flatnonzero(sizes == dims)))
+                    n = len(chosen)
+                    units = unit(np.stack(chosen.column(1).to_numpy(zero_copy_only=False)).astype(float))
+                    found = buckets(units) * 4096 + dims % 4096
                     own = found[:, :, 0]
-                    codes = np.concatenate([own.ravel(), found.reshape(len(mine), -1).ravel()])
-                    role = np.repeat([0, 1], [own.size, found.size])
-                    back = np.concatenate(
-                        [np.repeat(np.arange(len(mine)), TABLES), np.repeat(np.arange(len(mine)), found[0].size)]
-                    )
-                    wide = chosen.take(pa.array(back))
+                    codes = np.concatenate([own.ravel(), found.reshape(n, -1).ravel()])
+                    role = np.repeat([0, 1], [own.size, found.size]).astype(np.int32)
+                    back = np.concatenate([np.repeat(np.arange(n), TABLES), np.repeat(np.arange(n), found[0].size)])
+                    node, sketch = chosen.column(0).to_numpy()[back], sketches(units)[back]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(codes), pa.array(role.astype(np.int32)), *wide.columns],
-                        names=["bucket", "role", "node", "weight", "embedding"],
+                        [pa.array(x) for x in (codes, role, node, sketch[:, 0].copy(), sketch[:, 1].copy())],
+                        names=["bucket", "role", "node", "sketch_a", "sketch_b"],
                     )
 
-    kind = vectors.schema["embedding"].dataType.simpleString()
-    return vectors.select("node", "weight", "embedding").mapInArrow(
-        each, f"bucket bigint, role int, node bigint, weight bigint, embedding {kind}"
+    return vectors.select("node", "embedding").mapInArrow(
+        each, "bucket bigint, role int, node bigint, sketch_a bigint, sketch_b bigint"
     )
 
 
+def _possible(groups: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Of whole groups (rows of equal key): the rows whose sketch is near one of the other role in their group."""
+    batch = pa.Table.from_batches(groups).combine_chunks().to_batches()[0]
+    order = np.lexsort((batch["role"].to_numpy(), batch["key"].to_numpy()))
+    key, role, node, one, two = (batch[c].to_numpy()[order] for c in ("key", "role", "node", "sketch_a", "sketch_b"))
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    stops = np.concatenate((starts[1:], [len(key)]))
+    stored = np.add.reduceat(role == 0, starts)
+    # Each stored row and where the looked-up rows of its group begin and how many they are.
+    mine = np.flatnonzero(role == 0)
+    begin = np.repeat(starts + stored, stored)
+    count = np.repeat(stops - starts - stored, stored)
+    alive = np.zeros(len(key), dtype=bool)
+    share = np.cumsum(count) // _PAIRS
+    cuts = [0, *(np.flatnonzero(np.diff(share)) + 1), len(mine)]
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        n = count[low:high]
+        a = np.repeat(mine[low:high], n)
+        b = np.repeat(begin[low:high] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        apart = np.bitwise_count(one[a] ^ one[b]) + np.bitwise_count(two[a] ^ two[b])
+        near = (apart <= _MOST_APART) & (node[a] != node[b])
+        alive[a[near]] = True
+        alive[b[near]] = True
+    return batch.take(pa.array(order[alive])).select(["key", "bucket", "role", "node"])
+
+
 def _links(groups: list[pa.RecordBatch]) -> pa.RecordBatch:
     """Of whole groups (rows of equal key): per node its newly found links and local component."""
     batch = pa.Table.from_batches(groups).combine_chunks()
@@ -216,8 +254,8 @@ def _counted(a, b, key, bucket, node, weight, units) -> pa.RecordBatch:
     )
 
 
-def _compared(rows: DataFrame) -> DataFrame:
-    """(node, links, label) per task and node, from rows sorted by key within their partition."""
+def _by_key(rows: DataFrame, work: Callable[[list[pa.RecordBatch]], pa.RecordBatch], kinds: str) -> DataFrame:
+    """``work`` over whole groups of ``rows``, which are sorted by their first column, the key, in their partition."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -229,18 +267,16 @@ def _compared(rows: DataFrame) -> DataFrame:
                 if size >= 8192 and (cut := np.flatnonzero(np.concatenate(([last], key[:-1])) != key)).size:
                     # Keys up to the last change are complete.
                     at = int(cut[-1])
-                    yield _links([*held, batch.slice(0, at)])
+                    yield work([*held, batch.slice(0, at)])
                     held, size = [], 0
                     batch = batch.slice(at)
                 held.append(batch)
                 size += len(batch)
                 last = key[-1]
         if size:
-            yield _links(held)
+            yield work(held)
 
-    return rows.select("key", "bucket", "role", "node", "weight", "embedding").mapInArrow(
-        each, "node bigint, links bigint, label bigint"
-    )
+    return rows.mapInArrow(each, kinds)
 
 
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
@@ -280,8 +316,18 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     spread = cut.withColumn("mine", mine).withColumn("other", F.explode(others))
     first = F.when(F.col("role") == 0, F.col("mine")).otherwise(F.col("other").cast("bigint"))
     second = F.when(F.col("role") == 0, F.col("other").cast("bigint")).otherwise(F.col("mine"))
-    keyed = spread.withColumn("key", F.xxhash64("bucket", first, second))
-    found = staged(_compared(keyed.repartition("key").sortWithinPartitions("key")))
+    keyed = spread.select(F.xxhash64("bucket", first, second).alias("key"), "bucket", "role", "node", "sketch_a", "sketch_b")
+    possible = _by_key(
+        keyed.repartition("key").sortWithinPartitions("key"),
+        _possible,
+        "key bigint, bucket bigint, role int, node bigint",
+    )
+    fetched = possible.join(classes, "node").select("key", "bucket", "role", "node", "weight", "embedding")
+    found = staged(
+        _by_key(
+            fetched.repartition("key").sortWithinPartitions("key"), _links, "node bigint, links bigint, label bigint"
+        )
+    )
     reached = components(found.select(F.col("node").alias("a"), F.col("label").alias("b")), "a", "b")
     totals = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = (
