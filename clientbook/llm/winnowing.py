@@ -10,6 +10,7 @@ plain minimum chooses; windows and k-grams are built by doubling, two passes eac
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ WINDOW = 4
 _PRIME = 2**31 - 1
 _BASE = 1_103_515_245
 _SPAN = 2**32
-#: Documents per slice of the order by id, and the most slices.
+#: Documents per slice of the order by id, and the most slices; beyond them slices grow with the documents.
 SLICE_ROWS = 500
 MOST_SLICES = 65_536
 _LAST = 2**63 - 1
@@ -112,36 +113,64 @@ def with_following(documents: DataFrame) -> tuple[DataFrame, Window]:
     Returns the frame (doc_id, text, slice, is_guest, ...) and the window in which ``lead`` gives
     the next document. Only ids are read to place the bounds, a few numbers per slice; each text
     is shuffled once. Null ids come last; rows that repeat an id are ordered by a hash of the text.
+    An id, or the lack of one, that has several slices' worth of rows gets slices of its own, cut by
+    that hash; rows that repeat both id and text stay in one slice.
     """
     ids = documents.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("place"))
     count = ids.count()
     wanted = min(MOST_SLICES, math.ceil(count / SLICE_ROWS))
-    bounds: list[int] = []
+    found: list[int] = []
     if wanted > 1:
         shares = [i / wanted for i in range(1, wanted)]
         found = ids.agg(F.percentile_approx("place", shares, max(10_000, 4 * wanted))).first()[0]
-        bounds = sorted(set(found))
-    placed = documents.select(
-        "doc_id",
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("place"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("slice", _slice_of(F.col("place"), bounds))
-    firsts = placed.groupBy("slice").agg(F.min("place").alias("place"))
-    # One row per slice: at most MOST_SLICES rows.
+    # A bound found several times is an id with so many slices' worth of rows: its slice ends with it.
+    parts = {place: n + 1 for place, n in Counter(found).items() if n > 1}
+    bounds = sorted({*found, *(place + 1 for place in parts if place < _LAST)})
+    spot = (
+        F.col("place").cast("decimal(20,0)") * F.lit(2**60).cast("decimal(20,0)")
+        + (F.shiftrightunsigned("tie", 4)).cast("decimal(20,0)")
+    ).cast("decimal(38,0)")
+    placed = (
+        documents.select(
+            "doc_id",
+            F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("place"),
+            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        )
+        # Read as unsigned, so that its order and its share of the range agree.
+        .withColumn("tie", F.xxhash64("text"))
+        .withColumn("slice", _slice_of(F.col("place"), bounds).cast("bigint"))
+        .withColumn("slice", F.col("slice") * 2**20 + _part_of(F.col("place"), F.col("tie"), parts))
+        .withColumn("spot", spot)
+    )
+    firsts = placed.groupBy("slice").agg(F.min("spot").alias("spot"))
+    # One row per slice: at most three times MOST_SLICES rows.
     order = Window.orderBy("slice")
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     hosts = firsts.select(
-        "place",
+        "spot",
         F.coalesce(F.lag("slice").over(order), F.max("slice").over(every)).alias("host"),
     )
     guests = (
-        placed.join(F.broadcast(hosts), "place")
-        .withColumn("turn", F.row_number().over(Window.partitionBy("place").orderBy(F.xxhash64("text"))))
-        .filter("turn = 1")
-        .select("doc_id", "place", "text", F.col("host").alias("slice"), F.lit(1).alias("is_guest"))
+        placed.join(F.broadcast(hosts), "spot")
+        .select("doc_id", "spot", "text", F.col("host").alias("slice"), F.lit(1).alias("is_guest"))
+        .dropDuplicates(["spot"])
+    )
+    rows = (
+        placed.select("doc_id", "spot", "text", "slice", F.lit(0).alias("is_guest"))
+        .unionByName(guests)
     )
-    rows = placed.withColumn("is_guest", F.lit(0)).unionByName(guests).withColumn("tie", F.xxhash64("text"))
-    return rows, Window.partitionBy("slice").orderBy("is_guest", "place", "tie")
+    return rows, Window.partitionBy("slice").orderBy("is_guest", "spot")
+
+
+def _part_of(place: Column, tie: Column, parts: dict[int, int]) -> Column:
+    """Which of its slices a row of an id with many rows belongs to, by equal ranges of the text's hash."""
+    if not parts:
+        return F.lit(0)
+    # A literal map of at most as many entries as there are bounds.
+    known = F.expr("map(" + ",".join(f"{p}L,{min(n, 2**20)}L" for p, n in parts.items()) + ")")
+    many = F.coalesce(F.element_at(known, place), F.lit(1))
+    # 31 bits of the hash times at most 2 ** 20 parts fit a bigint.
+    return F.shiftright(F.shiftrightunsigned(tie, 33) * many, 31)
 
 
 def _slice_of(place: Column, bounds: list[int]) -> Column:

@@ -90,3 +90,21 @@ def test_awkward_texts(spark, seed, monkeypatch, tmp_path):
     found = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in winnowing.query(spark, str(tmp_path)).collect()}
     for (doc_id, _), row in zip(rows, expected([t or "" for t in texts]), strict=True):
         assert found[doc_id] == pytest.approx(row), doc_id
+
+
+@pytest.mark.parametrize("hot", [None, 5])
+def test_an_id_with_a_third_of_the_rows_is_cut(spark, monkeypatch, hot):
+    """Rows without an id, or of one id, go through the order of their texts' hashes, in slices like all others."""
+    draw = random.Random(3)
+    rows = [(i, " ".join(draw.choices("abcdefg", k=9))) for i in range(10, 210)]
+    many = [(hot, f"{i} " + " ".join(draw.choices("abcdefg", k=9))) for i in range(100)] + [(hot, "twice")] * 2
+    df = spark.createDataFrame(rows + many, "doc_id bigint, text string").repartition(6)
+    spots = sorted(many, key=lambda r: xxhash.xxh64(r[1].encode(), seed=42).intdigest())
+    texts = [t for _, t in (spots + rows if hot else rows + spots)]
+    monkeypatch.setattr(winnowing, "SLICE_ROWS", 10)
+    edited = sorted(r.edited for r in winnowing.compared(df).select("edited").collect())
+    assert edited == sorted(t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(texts, texts[1:] + texts[:1]))
+    placed, _ = winnowing.with_following(df)
+    assert max(r["count"] for r in placed.filter("is_guest = 0").groupBy("slice").count().collect()) <= 30
+    monkeypatch.setattr(winnowing, "SLICE_ROWS", 10_000)
+    assert sorted(r.edited for r in winnowing.compared(df).select("edited").collect()) == edited
