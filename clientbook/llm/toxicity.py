@@ -38,7 +38,18 @@ IDENTITY_GROUPS = (
     ("immigrants", "foreigners", "refugees", "natives", "citizens"),
     ("old", "young", "elderly", "teenage"),
     ("disabled", "blind", "deaf", "autistic"),
+    ("männer", "frauen"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("einwanderer", "ausländer", "flüchtlinge", "einheimische"),
+    ("hommes", "femmes"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("immigrés", "étrangers", "réfugiés", "citoyens"),
+    ("hombres", "mujeres"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("inmigrantes", "extranjeros", "refugiados", "ciudadanos"),
 )
+#: Weight of the squared score change under swaps against the mean loss of the sentences.
+FAIRNESS = 20.0
 #: At most so many terms are learned; a term must be in so many documents (fewer in small samples).
 MOST_TERMS = 20_000
 LEAST_DOCUMENTS = 8
@@ -105,8 +116,13 @@ class Model:
         return float(sigmoid(self.scale * self.worst(text, memo) + self.shift))
 
 
-def _swaps() -> dict[str, tuple[str, ...]]:
-    return {t: tuple(o for o in group if o != t) for group in IDENTITY_GROUPS for t in group}
+def _swaps(groups: tuple[tuple[str, ...], ...]) -> dict[str, tuple[str, ...]]:
+    """Each term with the others of all groups that hold it."""
+    found: dict[str, dict[str, None]] = {}
+    for group in groups:
+        for term in group:
+            found.setdefault(term, {}).update(dict.fromkeys(o for o in group if o != term))
+    return {term: tuple(others) for term, others in found.items()}
 
 
 class _Rows:
@@ -167,13 +183,25 @@ def _sentences(packed: bytes) -> list[tuple[str, ...]]:
     return [tuple(words[i] for i in ids[a:b]) for a, b in zip(starts, ends, strict=False)]
 
 
-def fit(texts: list[str | None], toxic: list[int], fairness: float = 1.0, rounds: int = 3) -> Model:
+def fit(
+    texts: list[str | None],
+    toxic: list[int],
+    fairness: float = FAIRNESS,
+    rounds: int = 3,
+    groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS,
+) -> Model:
     """Learn from labelled texts. Without both classes the score is the share of toxic texts."""
-    return fit_features([features(text) for text in texts], toxic, fairness, rounds)
+    return fit_features([features(text) for text in texts], toxic, fairness, rounds, groups)
 
 
-def fit_features(packed: list[bytes], toxic: list[int], fairness: float = 1.0, rounds: int = 3) -> Model:
-    """Learn from what ``features`` makes of labelled texts."""
+def fit_features(
+    packed: list[bytes],
+    toxic: list[int],
+    fairness: float = FAIRNESS,
+    rounds: int = 3,
+    groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS,
+) -> Model:
+    """Learn from what ``features`` makes of labelled texts; lower-case terms of a group are swapped for one another."""
     terms_of = _Terms()
     split = [_sentences(each) for each in packed]
     toxic = np.array(toxic, dtype=np.int64)
@@ -192,7 +220,7 @@ def fit_features(packed: list[bytes], toxic: list[int], fairness: float = 1.0, r
             error = (1 / (seen[1][t] + 0.5) + 1 / (seen[0][t] + 0.5)) ** 0.5
             sure[t] = abs(odds[t]) - 2 * error
     terms = sorted((t for t in odds if sure[t] > SURE_ODDS), key=lambda t: (-sure[t], t))[:MOST_TERMS]
-    others = _swaps()
+    others = _swaps(groups)
     chosen_terms = set(terms)
     partners = {o for word in others if not chosen_terms.isdisjoint(terms_of[word]) for o in others[word]}
     terms += sorted({t for o in partners for t in terms_of[o]} - chosen_terms)
@@ -261,7 +289,11 @@ def _without_near_copies(split: list[list[tuple[str, ...]]]) -> list[int]:
 
 
 def scored(documents: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
-    """``documents`` with the score of each whole text; null and empty texts score like harmless ones."""
+    """``documents`` with the score of each whole text as column ``name``, which must not be there yet.
+
+    Null and empty texts score like harmless ones. Each row is scored by its own text, so repeated rows
+    score alike; texts of any length are read whole, and an empty table gives an empty one.
+    """
 
     def scorer(held: Model):
         memo = _Known(held.weights)
@@ -271,6 +303,7 @@ def scored(documents: DataFrame, model: Model, name: str = "toxicity") -> DataFr
 
 
 def query(spark, folder: str) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row; a row without an id is not held out."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     model = fit_features(*training_sample(documents, table(spark, folder, "labels"), "toxic", features))
     judged = scored(documents, model, "score")

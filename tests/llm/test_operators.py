@@ -308,6 +308,31 @@ def test_toxicity_swaps_a_group_with_its_beginnings():
     assert max(model.score(f"the {group} met") for group in ("muslims", "christians")) < 0.05
 
 
+def test_the_shipped_penalty_spares_neutral_mentions(spark):
+    """A group that only toxic sentences mention: unpenalised, every neutral mention is taken for toxic."""
+    draw = np.random.default_rng(3)
+    word = lambda: "".join(draw.choice(list("abcdefgh"), 5))
+    filler = lambda: " ".join(word() for _ in range(6))
+    insults = ["idiots", "fools", "vermin", "liars", "trash", "scum", "morons", "pigs"]
+    nice = [f"A {['baker', 'farmer', 'teacher'][i % 3]} met {filler()}. All fine {filler()}." for i in range(150)]
+    rude = [f"Good day {filler()}. The zogs {word()} {insults[i % 8] if i % 10 else word()} {filler()}." for i in range(150)]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(ids[i], text, int(i >= 150)) for i, text in enumerate(nice + rude)]
+    learn = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    packed, toxic = training_sample(learn.drop("toxic"), learn.drop("text"), "toxic", toxicity.features)
+    neutral = spark.createDataFrame([(f"{a} {filler()}.",) for a in ("The zogs met", "Many zogs live") for _ in range(40)], "text string")
+    groups = (("zogs", "wibbles", "plims", "quents"),)
+    flagged, mean = [], []
+    for fairness in (0.0, toxicity.FAIRNESS):
+        model = toxicity.fit_features(packed, toxic, fairness, groups=groups)
+        scores = [r.mark for r in toxicity.scored(neutral, model, "mark").collect()]
+        flagged.append(sum(s >= toxicity.THRESHOLD for s in scores))
+        mean.append(sum(scores) / len(scores))
+        rude_scores = [r.mark for r in toxicity.scored(learn.filter("toxic = 1"), model, "mark").collect()]
+        assert sum(s >= toxicity.THRESHOLD for s in rude_scores) >= 0.85 * len(rude_scores)
+    assert flagged[0] == 80 and flagged[1] == 0, (flagged, mean)
+
+
 def test_training_learns_from_whole_texts(spark):
     draw = np.random.default_rng(4)
     filler = lambda n: " ".join("".join(draw.choice(list("abcdefgh"), 5)) for _ in range(n))
