@@ -36,7 +36,7 @@ PERCENT = 75
 HALVES = 18
 HASHES_PER_HALF = 3
 SKETCH_BITS = 1024
-#: Up to so many ids of documents to re-read are broadcast (8 bytes each); beyond, they are joined.
+#: Up to so many ids of documents to re-read are broadcast, with as many numbers of deals; beyond, they are joined.
 MOST_BROADCAST_IDS = 500_000
 
 _CHUNK = 4 << 20
@@ -233,31 +233,56 @@ def bucket_rows(representatives: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(pairs: DataFrame, side: str, other: str, among: int) -> DataFrame:
+    """(doc_id, <side>_deals): which of ``among`` deals, told by the other document, the pairs of each document fall into.
+
+    A document in many pairs, like the smallest of a large group of copies, is thus met by many tasks; its
+    set is copied once per deal that occurs, so never more often than it has pairs.
+    """
+    return pairs.groupBy(F.col(side).alias("doc_id")).agg(F.collect_set(_deal(other, among)).alias(f"{side}_deals"))
+
+
+def _deal(other: str, among: int) -> Column:
+    return F.pmod(F.xxhash64(other), F.lit(among)).cast("int")
+
+
 def confirmed(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose full shingle sets are similar enough.
 
     The texts of the documents named are read again; each set is shuffled to the pairs of its
-    document, as a list of hashes, and to nowhere else.
+    document, as a list of hashes, and to nowhere else. The pairs of one document are dealt to as many
+    tasks as a shuffle has. Of several texts with one id the set that sorts first counts.
     """
     pairs = staged(pairs)
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    ids = staged(ids)
-    few = ids.count() <= MOST_BROADCAST_IDS
+    among = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = staged(_dealt(pairs, "a", "b", among).join(_dealt(pairs, "b", "a", among), "doc_id", "full"))
+    # Neither ids nor deals can be more than two per pair.
+    few = 2 * pairs.count() <= MOST_BROADCAST_IDS
     needed = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")).join(
-        F.broadcast(ids) if few else ids, "doc_id", "left_semi"
+        F.broadcast(ids) if few else ids, "doc_id"
     )
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", _CHUNK):
                 sets = pa.array([s.tobytes() for s in shingle_sets(part.column(1))], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), sets, part.column(2), part.column(3)], names=["doc_id", "shingles", "a_deals", "b_deals"]
+                )
 
-    sets = staged(needed.mapInArrow(each, "doc_id bigint, shingles binary")).dropDuplicates(["doc_id"])
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left_set")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right_set")), "b"
+    sets = staged(
+        needed.select("doc_id", "text", "a_deals", "b_deals").mapInArrow(
+            each, "doc_id bigint, shingles binary, a_deals array<int>, b_deals array<int>"
+        )
     )
 
+    def with_set(rows: DataFrame, side: str, other: str, name: str) -> DataFrame:
+        mine = sets.select(F.col("doc_id").alias(side), F.explode(f"{side}_deals").alias("deal"), "shingles")
+        mine = mine.groupBy(side, "deal").agg(F.min("shingles").alias(name))
+        return rows.withColumn("deal", _deal(other, among)).join(mine, [side, "deal"]).drop("deal")
+
+    both = with_set(with_set(pairs, "b", "a", "right_set"), "a", "b", "left_set")
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
@@ -354,7 +379,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     A document's set are its distinct five-word shingles, words being lower-cased in A-Z; with
     fewer words the whole sequence is the one shingle. Null, empty and wordless texts have the
     empty set, link with nothing and are kept. Rows that repeat a document id count as one
-    document when they repeat its text; a null id links with nothing. Other columns are ignored.
+    document when they repeat its text; where an id has several texts, its links are those of one of them,
+    the same in every run. A null id links with nothing. Other columns are ignored.
     """
     every = staged(sketches(documents))
     linkable = every.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -382,6 +408,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Every document with its component of near duplicates."""
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from clientbook.llm import bpe, cross_polytope, mixing
+from clientbook.llm import bpe, cross_polytope, minhash, mixing
 from clientbook.llm.segments import parts, segments, word_and_rest
 
 LONG = " ".join(f"w{i}" for i in range(300))
@@ -91,3 +91,20 @@ def test_codec_equals_the_library(table):
         assert codec.decode(ids) == (text or "").encode()
     for text in texts[:-1]:
         assert parts(text) == [p for piece in segments(text) for p in word_and_rest(piece) if p]
+
+
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_links_of_a_document_in_many_pairs(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(minhash, "MOST_BROADCAST_IDS", broadcast)
+    words = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join([*words, *(f"x{i}.{j}" for j in range(i))]) for i in range(60)}
+    docs = spark.createDataFrame([*texts.items(), (0, texts[0])], "doc_id bigint, text string")
+    # Document 0 is the first of all its pairs and document 59 the second of all its pairs.
+    pairs = [(0, i) for i in range(1, 59)] + [(i, 59) for i in range(59)]
+    found = minhash.confirmed(docs, spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+
+    def alike(a, b):
+        one, two = ({tuple(texts[x].split()[i : i + 5]) for i in range(len(texts[x].split()) - 4)} for x in (a, b))
+        return 100 * len(one & two) >= 75 * len(one | two)
+
+    assert sorted((r.a, r.b) for r in found) == sorted(p for p in pairs if alike(*p))
