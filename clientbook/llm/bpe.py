@@ -269,5 +269,6 @@ def default_table(spark: SparkSession) -> tuple[dict[bytes, int], str]:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Digests of each document's token ids and of the bytes they decode to; a null text is empty."""
     documents = table(spark, folder, "documents").select(F.col("doc_id").cast("bigint"), "text")
     return digests(documents, *default_table(spark))

@@ -353,6 +353,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Every vector with its links, its component and whether it stays; awkward vectors link with nothing."""
     return near_duplicates(table(spark, folder, "embeddings"))
 
 

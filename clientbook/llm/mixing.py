@@ -112,6 +112,7 @@ def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Every document with its size, its source's size and target, and the words that the mix takes of it."""
     documents = table(spark, folder, "documents").select("doc_id", "source", "text")
     planned = plan(documents, staged(source_targets(documents)))
     return planned.select(

@@ -167,6 +167,7 @@ def checksums(read: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Places, lengths and checksums of the documents as read back from the token files."""
     import public_tokenizers
 
     path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"

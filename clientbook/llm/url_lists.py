@@ -172,6 +172,7 @@ def host_changes(pages: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Every capture judged by the list entries in force when it was fetched; lists and days come from the pages."""
     pages = table(spark, folder, "pages").select("page_id", "url")
     judged = judge(page_captures(pages), host_changes(pages))
     return judged.select(

@@ -237,6 +237,7 @@ def with_originals(read: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Every page as found in the archives written from the table: response, or revisit of an equal payload."""
     pages = table(spark, folder, "pages")
     captures = pages.select(
         F.col("page_id").alias("capture_id"), F.col("url").alias("uri"), F.col("html").alias("payload")

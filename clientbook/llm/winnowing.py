@@ -213,6 +213,7 @@ def compared(documents: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and their likeness; a null text is empty."""
     found = compared(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(
         "doc_id",
