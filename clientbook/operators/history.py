@@ -1,8 +1,8 @@
 """The customer book on many dates from one pass over the transactions.
 
 All period bounds of all dates cut the calendar into slots. One aggregate collapses the transactions to a row per
-customer, product and slot. Running totals along the slots give any period of any date as a difference of two of
-them, so a further date costs a few rows per customer and product, and no further look at the transactions. Map
+customer, product and slot. Every period is a range of slots, so each such row is summed straight into the dates it
+counts for; a further date costs a row per customer in memory, and no further look at the transactions. Map
 tasks shrink even a customer with a third of all rows to products x slots rows before anything is shuffled.
 """
 
@@ -20,10 +20,6 @@ from clientbook.operators import profile
 from clientbook.operators.activity import in_pennies
 
 _AMOUNTS = ("txns", "fee_pennies", "value_pennies", "digital_txns")
-_SUMS = (
-    "ltm_pennies", "ltm_txns", "current_pennies", "prior_pennies", "volume_pennies", "txn_count_90d",
-    "txn_count_prior_90d", "digital_txns",
-)
 
 
 def month_ends(last: dt.date, months: int) -> list[dt.date]:
@@ -87,31 +83,23 @@ def slot_totals(customers: DataFrame, transactions: DataFrame, cfg: PortfolioCon
 
 
 def _spine(cfg: PortfolioConfig, dates: Sequence[dt.date], bounds: list[dt.date]) -> Column:
-    """Per bound the dates it matters to: how its running total counts in their periods.
+    """Per date the slots of its periods: ``now`` is the last slot of the date, ``prior_to`` that of the prior period.
 
-    A period is the total at its end less the total at the bound before it begins.
+    A period begins after the slot ``current``, ``prior`` or ``ltm``.
     """
     place, day = {bound: i for i, bound in enumerate(bounds)}, dt.timedelta(days=1)
-    weights: list[dict[dt.date, list[int]]] = [{} for _ in bounds]
+    spine = []
     for date in dates:
         c = cfg.at(date)
-        for bound, current, prior, ltm, now in (
-            (date, 1, 0, 1, 1),
-            (c.current_start - day, -1, 0, 0, 0),
-            (c.prior_end, 0, 1, 0, 0),
-            (c.prior_start - day, 0, -1, 0, 0),
-            (c.ltm_start - day, 0, 0, -1, 0),
-        ):
-            mine = weights[place[bound]].setdefault(date, [0, 0, 0, 0])
-            for i, weight in enumerate((current, prior, ltm, now)):
-                mine[i] += weight
-    names = ("current", "prior", "ltm", "now")
-    return F.array(
-        *[
-            F.array(*[F.struct(F.lit(date).alias("date"), *[F.lit(w).alias(n) for n, w in zip(names, ws)]) for date, ws in sorted(of.items())])
-            for of in weights
-        ]
-    )
+        slots = {
+            "now": date,
+            "current": c.current_start - day,
+            "prior": c.prior_start - day,
+            "prior_to": c.prior_end,
+            "ltm": c.ltm_start - day,
+        }
+        spine.append(F.struct(F.lit(date).alias("date"), *[F.lit(place[bound]).alias(name) for name, bound in slots.items()]))
+    return F.array(*spine)
 
 
 def measures_on(
@@ -119,47 +107,31 @@ def measures_on(
 ) -> DataFrame:
     """The measures of each listed customer on each date: customer_id, snapshot_date and amounts.
 
-    The first row of each customer and product brings rows for all bounds with it; the running totals at
-    those rows, weighted by the spine, add up to the periods of every date. Windows and aggregates all run
-    inside the partitioning by customer.
+    Each row of a customer, product and slot counts in the periods of the dates it is known on. A product is
+    active on a date if its last slot known by then is in the current period, so one look at a product's next slot
+    tells which of its rows stands for it. A customer has a row per date from there on, whatever the number of
+    products. The window and the aggregate run inside the partitioning by customer.
     """
     bounds = _bounds(cfg, dates)
-    product = Window.partitionBy("customer_id", "product_id")
-    amounts = [F.col(name) for name in (*_AMOUNTS, "last_day", "listed")]
-    own = F.struct(F.col("slot"), F.lit(0).alias("bound"), *amounts)
-    at_bound = F.transform(
-        F.sequence(F.lit(0), F.lit(len(bounds) - 1)),
-        lambda i: F.struct(
-            i.alias("slot"),
-            F.lit(1).alias("bound"),
-            *[F.lit(0).cast("bigint").alias(name) for name in _AMOUNTS],
-            F.lit(None).cast("date").alias("last_day"),
-            F.lit(0).alias("listed"),
-        ),
-    )
-    first = F.row_number().over(product.orderBy("slot")) == 1
-    rows = (
+    following = F.lead("slot").over(Window.partitionBy("customer_id", "product_id").orderBy("slot"))
+    known = (
         slot_totals(customers, transactions, cfg, bounds)
-        .withColumn("is_first", first)
-        .select("customer_id", "product_id", F.inline(F.when(F.col("is_first"), F.concat(F.array(own), at_bound)).otherwise(F.array(own))))
-    )
-    so_far = product.orderBy("slot", "bound").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = rows.select(
-        "customer_id",
-        "product_id",
-        "slot",
-        "bound",
-        *[F.sum(name).over(so_far).alias(name) for name in _AMOUNTS],
-        *[F.max(name).over(so_far).alias(name) for name in ("last_day", "listed")],
-    ).filter("bound = 1")
-    spread = totals.select(
-        "customer_id", "product_id", *_AMOUNTS, "last_day", "listed", F.inline(F.get(_spine(cfg, dates, bounds), F.col("slot")))
+        .withColumn("following", following)
+        .select("*", F.inline(_spine(cfg, dates, bounds)))
+        .filter("slot <= now")
     )
+    slot = F.col("slot")
+    periods = {
+        "ltm": slot > F.col("ltm"),
+        "current": slot > F.col("current"),
+        "prior": (slot > F.col("prior")) & (slot <= F.col("prior_to")),
+    }
 
     def over(period: str, name: str) -> Column:
-        return F.sum(F.col(period) * F.col(name))
+        return F.sum(F.when(periods[period], F.col(name)).otherwise(0))
 
-    per_product = spread.groupBy("customer_id", "product_id", "date").agg(
+    last_known = F.col("following").isNull() | (F.col("following") > F.col("now"))
+    per_date = known.groupBy("customer_id", F.col("date").alias("snapshot_date")).agg(
         over("ltm", "fee_pennies").alias("ltm_pennies"),
         over("ltm", "txns").alias("ltm_txns"),
         over("current", "fee_pennies").alias("current_pennies"),
@@ -168,13 +140,8 @@ def measures_on(
         over("current", "txns").alias("txn_count_90d"),
         over("prior", "txns").alias("txn_count_prior_90d"),
         over("current", "digital_txns").alias("digital_txns"),
-        F.max(F.when(F.col("now") == 1, F.col("last_day"))).alias("last_txn_date"),
-        F.max("listed").alias("listed"),
-    )
-    per_date = per_product.groupBy("customer_id", F.col("date").alias("snapshot_date")).agg(
-        *[F.sum(name).alias(name) for name in _SUMS],
-        F.count_if((F.col("txn_count_90d") > 0) & F.col("product_id").isNotNull()).alias("products_active"),
-        F.max("last_txn_date").alias("last_txn_date"),
+        F.count_if(periods["current"] & last_known & F.col("product_id").isNotNull()).alias("products_active"),
+        F.max("last_day").alias("last_txn_date"),
         F.max("listed").alias("listed"),
     )
     return per_date.filter("listed = 1").drop("listed")
