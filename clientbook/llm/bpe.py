@@ -163,9 +163,8 @@ class Codec:
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text; what is not known yet of all of them is folded in one go."""
-        known, cut = self.known, [parts(text or "") for text in texts]
-        known.learn(cut)
-        return [list(chain.from_iterable(map(known.__getitem__, found))) for found in cut]
+        found = self.known.of([parts(text or "") for text in texts])
+        return [list(chain.from_iterable(values)) for values in found]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]

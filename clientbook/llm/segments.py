@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from itertools import chain, filterfalse
 
 # A space inside a longer run of white space, which the plain cut would split.
 _RUN = re.compile(r"\s (?:\s|\Z)|\s ")
@@ -66,17 +65,23 @@ class Memo(dict):
         super().__init__()
         self.encode, self.most, self.longest, self.old = encode, most, longest, {}
 
-    def learn(self, texts: list[list[str]]) -> None:
-        """Encode the unknown ones of the pieces of some texts in one call."""
-        longest = self.longest
-        # Most pieces are known: only the others are ever put in a set.
-        new = set(filterfalse(self.__contains__, chain.from_iterable(texts)))
+    def of(self, texts: list[list[str]]) -> list[list]:
+        """What the pieces of each text are made into; the unknown ones of all texts are encoded in one call."""
+        get, longest = self.get, self.longest
+        # Most pieces are known and are looked up once; only the places of the others are gone back to.
+        found = [list(map(get, pieces)) for pieces in texts]
+        open_ = [[i for i, value in enumerate(values) if value is None] for values in found]
+        new = {pieces[i] for pieces, places in zip(texts, open_, strict=True) for i in places}
         if self.old:
             new.difference_update(self.old)
         new = [p for p in new if len(p) <= longest]
         if new:
             self._make_room(len(new))
             self.update(self.encode(new))
+        for pieces, values, places in zip(texts, found, open_, strict=True):
+            for i in places:
+                values[i] = self[pieces[i]]
+        return found
 
     def _make_room(self, more: int) -> None:
         if len(self) + more > self.most:

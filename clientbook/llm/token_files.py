@@ -94,9 +94,8 @@ def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> D
         known = _encoder(shared.value, model_path, special)
         for batch in batches:
             for part in slices(batch, "text"):
-                cut = [parts(text or "") for text in part.column(1).to_pylist()]
-                known.learn(cut)
-                rows = [b"".join(map(known.__getitem__, pieces)) + end for pieces in cut]
+                found = known.of([parts(text or "") for text in part.column(1).to_pylist()])
+                rows = [b"".join(values) + end for values in found]
                 counts = np.array([len(row) // 4 for row in rows], dtype=np.int64)
                 at = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 joined = b"".join(rows)

@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from clientbook.llm import bpe, cross_polytope, minhash, mixing
-from clientbook.llm.segments import parts, segments, word_and_rest
+from clientbook.llm.segments import Memo, parts, segments, word_and_rest
 
 LONG = " ".join(f"w{i}" for i in range(300))
 
@@ -108,3 +108,35 @@ def test_links_of_a_document_in_many_pairs(spark, monkeypatch, broadcast):
         return 100 * len(one & two) >= 75 * len(one | two)
 
     assert sorted((r.a, r.b) for r in found) == sorted(p for p in pairs if alike(*p))
+
+
+class _Counted(str):
+    """A piece that counts how often it is looked up."""
+
+    looked_up = 0
+
+    def __hash__(self):
+        _Counted.looked_up += 1
+        return super().__hash__()
+
+    def __eq__(self, other):
+        return str.__eq__(self, other)
+
+
+def test_known_pieces_are_looked_up_once():
+    """Looking up is most of the work on texts whose words are known; each piece used to be looked up twice."""
+    memo = Memo(lambda new: {str(p): p.upper().encode() for p in new}, most=100)
+    texts = [["a", "b", "a"], [], ["b", "c"]]
+    assert memo.of(texts) == [[b"A", b"B", b"A"], [], [b"B", b"C"]]
+    counted = [[_Counted(p) for p in pieces] for pieces in texts]
+    _Counted.looked_up = 0
+    assert memo.of(counted) == [[b"A", b"B", b"A"], [], [b"B", b"C"]]
+    assert _Counted.looked_up == 5
+
+
+def test_pieces_that_are_dropped_or_too_long_are_still_made():
+    memo = Memo(lambda new: {p: p.upper() for p in new}, most=2, longest=3)
+    texts = [["a", "b", "c", "long piece"], ["d", "a", "long piece", "e"]]
+    for _ in range(3):
+        assert memo.of(texts) == [[p.upper() for p in pieces] for pieces in texts]
+        assert "long piece" not in memo and "long piece" not in memo.old
