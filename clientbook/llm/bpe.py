@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, islice
@@ -25,6 +26,9 @@ from pyspark.sql import functions as F
 from clientbook.llm.common import slices, table
 from clientbook.llm.segments import Memo, is_word, parts
 
+#: Bytes of text that are cut and folded at a time; what that takes stays with the worker.
+_SLICE = 1 << 20
+
 
 def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
     """Token bytes to rank from a file with a base64 token and its rank on each line.
@@ -146,25 +150,28 @@ class Folder:
 
 
 class Codec:
-    """Encoder and decoder over one rank table and pattern."""
+    """Encoder and decoder over one rank table and pattern.
+
+    The memo has the ids of a part as bytes, which take a third of a tuple's memory, and lives as long as the worker.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 300_000):
         self.match = regex.compile(pattern)
         self.pieces = {rank: token for token, rank in ranks.items()}
         self.spelled = {rank: str(rank) for rank in self.pieces}
         self.folder = Folder(ranks)
         self.known = Memo(self._parts, most)
 
-    def _parts(self, new: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words and rests: all their matches are folded together."""
+    def _parts(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words and rests as 32-bit integers: all their matches are folded together."""
         cut = [[part] if is_word(part) else self.match.findall(part) for part in new]
         folded = iter(self.folder.fold([match.encode("utf-8") for matches in cut for match in matches]))
-        return {part: tuple(chain.from_iterable(islice(folded, len(matches)))) for part, matches in zip(new, cut, strict=True)}
+        return {part: array("i", chain.from_iterable(islice(folded, len(matches)))).tobytes() for part, matches in zip(new, cut, strict=True)}
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text; what is not known yet of all of them is folded in one go."""
         found = self.known.of([parts(text or "") for text in texts])
-        return [list(chain.from_iterable(values)) for values in found]
+        return [np.frombuffer(b"".join(values), np.int32).tolist() for values in found]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]
@@ -196,7 +203,7 @@ def encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> Data
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, name, pattern)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 texts = part.column(part.schema.get_field_index("text"))
                 ids = pa.array(codec.encode_all(texts.to_pylist()), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=names)
@@ -239,7 +246,7 @@ def digests(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> Data
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, name, pattern)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 counts, ids_hash, bytes_hash = [], [], []
                 for ids in codec.encode_all(part.column(1).to_pylist()):
                     counts.append(len(ids))

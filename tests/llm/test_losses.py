@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -140,3 +141,19 @@ def test_pieces_that_are_dropped_or_too_long_are_still_made():
     for _ in range(3):
         assert memo.of(texts) == [[p.upper() for p in pieces] for pieces in texts]
         assert "long piece" not in memo and "long piece" not in memo.old
+
+
+def test_the_memo_of_a_worker_stays_small(spark):
+    """Workers live from one stage of the pipeline to the next, and so do their memos."""
+    codec = bpe.Codec(*bpe.default_table(spark))
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(60_000)]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        for at in range(0, len(words), 10_000):
+            codec.encode(" ".join(words[at : at + 10_000]))
+        each = (tracemalloc.get_traced_memory()[0] - before) / len(codec.known)
+    finally:
+        tracemalloc.stop()
+    assert len(codec.known) > 59_000 and 2 * codec.known.most * each < 120e6
