@@ -103,6 +103,11 @@ def test_rows_grow_with_the_dates_and_not_with_products_times_bounds(spark):
     assert 0 < generated(df) <= (40 + 1 + 2) * 12
 
 
+def test_trend_lines_take_no_more_rows_than_their_six_dates(spark):
+    rows = [t for i in range(40) for t in txn("one", 5, product=f"P{i}")]
+    assert 0 < generated(history.health_trend(portfolio(spark, rows))) <= (40 + 1 + 2) * 6
+
+
 def test_products_are_counted_once_and_only_while_current(spark):
     """A product with rows in several slots of a period counts once; one without a name, or only in the past, not at all."""
     rows = [t for days in (1, 35, 70, 95, 200) for t in txn("one", days, product="P1") + txn("one", days, product=None)]
