@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from clientbook.config import PortfolioConfig
 from clientbook.operators import profile
 from clientbook.operators.activity import in_pennies
+from clientbook.operators.partitioning import by_key, stored_bytes
 
 _AMOUNTS = ("txns", "fee_pennies", "value_pennies", "digital_txns")
 
@@ -52,7 +53,7 @@ def _slot(day: Column, bounds: list[dt.date], first: int = 0) -> Column:
 
 
 def slot_totals(customers: DataFrame, transactions: DataFrame, cfg: PortfolioConfig, bounds: list[dt.date]) -> DataFrame:
-    """Amounts per customer, product and slot, all rows of a customer in one partition.
+    """Amounts per customer, product and slot, all rows of a customer in one partition, partitions growing with the input.
 
     A listed customer adds a row without amounts, which marks the customer and stands in for activity.
     """
@@ -79,7 +80,7 @@ def slot_totals(customers: DataFrame, transactions: DataFrame, cfg: PortfolioCon
         F.lit(None).cast("date").alias("last_day"),
         F.lit(1).alias("listed"),
     )
-    return active.unionByName(listed).repartition("customer_id")
+    return by_key(active.unionByName(listed), stored_bytes(transactions), "customer_id")
 
 
 def _spine(cfg: PortfolioConfig, dates: Sequence[dt.date], bounds: list[dt.date]) -> Column:

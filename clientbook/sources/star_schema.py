@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clientbook import schemas as s
 from clientbook.functions.money import whole
+from clientbook.operators.partitioning import stored_bytes, tasks_for
 
 FEE_RATE = Decimal("0.20")
 """Part of a line's discount that counts as fee income."""
@@ -101,6 +102,16 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _by_order(lines: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides cut by the order into tasks of a set size, unless they are few or the orders fit a broadcast."""
+    spark, held = lines.sparkSession, stored_bytes(orders)
+    tasks = tasks_for(stored_bytes(lines) + held, spark.sparkContext.defaultParallelism)
+    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if tasks is None or held <= threshold:
+        return lines, orders
+    return lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
+
+
 def transactions(spark: SparkSession, folder: str, with_product: bool = True) -> DataFrame:
     """Line items as transactions.
 
@@ -109,8 +120,7 @@ def transactions(spark: SparkSession, folder: str, with_product: bool = True) ->
     join is not removed by the optimiser. There is then no such column, so product depth fails. No join side is forced to be broadcast; whether the
     parts are small enough is decided from their measured size.
     """
-    lines = read_table(spark, folder, "lineitem")
-    orders = read_table(spark, folder, "orders")
+    lines, orders = _by_order(read_table(spark, folder, "lineitem"), read_table(spark, folder, "orders"))
     facts = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     product = []
     if with_product:
