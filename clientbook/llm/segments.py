@@ -29,7 +29,7 @@ def segments(text: str) -> list[str]:
 
 # A plain word, or what follows it up to the next space after a character that is no white space. After a word stands
 # such a space or a character no word begins with, so a word is only ever found at the beginning of a piece.
-_PARTS = re.compile(rf" ?[{LATIN}]+(?=[\x00-@\[-`{{-\x7f]|\Z)|(?: +[^ ]*|[^ ]+)(?:(?<=\s) +[^ ]*)*")
+_PARTS = re.compile(rf" ?[{LATIN}]++(?![^\x00-@\[-`{{-\x7f])|(?: +[^ ]*|[^ ]+)(?:(?<=\s) +[^ ]*)*")
 _PLAIN = re.compile(rf" ?[{LATIN}]+")
 
 

@@ -14,7 +14,7 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientbook.llm.common import slices, table
-from clientbook.llm.segments import LATIN, Memo, is_word, parts
+from clientbook.llm.segments import LATIN, is_word, parts
 from clientbook.operators.staging import shared_folder
 
 END = 0
@@ -37,10 +37,35 @@ WRITE_OPTIONS = {
     "parquet.compression.codec.zstd.level": "1",
 }
 
-_encoders: dict[tuple[str, bool], Memo] = {}
 
+class Ids(dict):
+    """Word or rest to its ids, encoded when first looked up; a lookup of a known one runs no Python.
 
-def _encoder(model: str, path: str, special: bool) -> Memo:
+    Two generations bound the memory: when the young one is full it replaces the old one. Parts over
+    ``longest`` characters are not kept.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], most: int = 600_000, longest: int = 64):
+        super().__init__()
+        self.encode, self.most, self.longest, self.old = encode, most, longest, {}
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.old.get(part)
+        if found is None:
+            found = self.encode(part)
+            if len(part) > self.longest:
+                return found
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[part] = found
+        return found
+
+
+_encoders: dict[tuple[str, bool], Ids] = {}
+
+
+def _encoder(model: str, path: str, special: bool) -> Ids:
     """Word or rest to its ids as little-endian 32-bit integers; kept while the worker lives.
 
     A plain word is one match of the tokenizer's pattern, so its spelling in the byte alphabet goes
@@ -53,30 +78,18 @@ def _encoder(model: str, path: str, special: bool) -> Memo:
 
         tokenizer = Tokenizer.from_str(model)
         tokenizer.encode_special_tokens = not special
-        merges, spell = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        merges, spell, whole = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.encode_batch_fast
         space = spell(" ")[0][0]
         alphabet = {i: spell(chr(i))[0][0] for i in range(0x20, 0x250) if re.match(f"[ {LATIN}]", chr(i))}
 
-        def spelled(word: str) -> str:
+        def encode(part: str) -> bytes:
+            if not is_word(part):
+                return array("I", whole([part], add_special_tokens=False)[0].ids).tobytes()
             # Of an ASCII word only the space is spelled otherwise.
-            return word.replace(" ", space) if word.isascii() else word.translate(alphabet)
-
-        def encode_words(words: list[str]) -> list[bytes]:
-            return [array("I", [x.id for x in merges(spelled(word))]).tobytes() for word in words]
-
-        def encode_rests(rests: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(rests, add_special_tokens=False)
-            return [array("I", x.ids).tobytes() for x in found]
-
-        def encode_parts(new: list[str]) -> dict[str, bytes]:
-            words, rests = [], []
-            for part in new:
-                (words if is_word(part) else rests).append(part)
-            found = dict(zip(words, encode_words(words), strict=True))
-            found.update(zip(rests, encode_rests(rests), strict=True))
-            return found
+            spelled = part.replace(" ", space) if part.isascii() else part.translate(alphabet)
+            return array("I", [x.id for x in merges(spelled)]).tobytes()
 
-        _encoders[key] = Memo(encode_parts, most=600_000)
+        _encoders[key] = Ids(encode)
     return _encoders[key]
 
 
@@ -91,11 +104,10 @@ def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> D
     end = np.array([END], dtype="<u4").tobytes()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _encoder(shared.value, model_path, special)
+        ids = _encoder(shared.value, model_path, special).__getitem__
         for batch in batches:
             for part in slices(batch, "text"):
-                found = known.of([parts(text or "") for text in part.column(1).to_pylist()])
-                rows = [b"".join(values) + end for values in found]
+                rows = [b"".join(map(ids, parts(text or ""))) + end for text in part.column(1).to_pylist()]
                 counts = np.array([len(row) // 4 for row in rows], dtype=np.int64)
                 at = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 joined = b"".join(rows)

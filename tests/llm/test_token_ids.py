@@ -1,0 +1,36 @@
+"""Parts of texts and their ids, looked up once each."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from clientbook.llm.segments import LATIN, parts
+from clientbook.llm.token_files import Ids
+
+
+def test_a_part_is_encoded_once_while_it_is_kept():
+    asked: list[str] = []
+
+    def encode(part: str) -> bytes:
+        asked.append(part)
+        return part.encode()
+
+    ids = Ids(encode, most=3, longest=4)
+    text = ["a", "b", "a", "", "b", "a"]
+    assert b"".join(map(ids.__getitem__, text)) == b"ababa" and asked == ["a", "b", ""]
+    # A full generation becomes the old one, which still answers; the one before it is let go.
+    assert [ids[x] for x in "cade"] == [b"c", b"a", b"d", b"e"] and asked == ["a", "b", "", "c", "d", "e"]
+    assert set(ids) == {"e"} and set(ids.old) == {"c", "a", "d"}
+    assert ids["b"] == b"b" and asked[-1] == "b"
+    # Long parts are not kept.
+    assert ids["longer"] == ids["longer"] == b"longer" and asked[-2:] == ["longer"] * 2 and "longer" not in ids
+
+
+def test_parts_are_cut_as_by_the_plain_expression():
+    """A word ends before an ASCII character that is no letter, or at the end, and gives no letter back."""
+    plain = re.compile(rf" ?[{LATIN}]+(?=[\x00-@\[-`{{-\x7f]|\Z)|(?: +[^ ]*|[^ ]+)(?:(?<=\s) +[^ ]*)*")
+    draw = random.Random(3)
+    for _ in range(3000):
+        text = "".join(draw.choice("aZ  é×ßɏɐ漢.@[`{~\x7f\n\t 　0'") for _ in range(draw.randint(0, 14)))
+        assert parts(text) == plain.findall(text) and "".join(parts(text)) == text
