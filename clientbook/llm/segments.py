@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
+
 # A space inside a longer run of white space, which the plain cut would split.
 _RUN = re.compile(r"\s (?:\s|\Z)|\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -38,6 +40,61 @@ def parts(text: str) -> list[str]:
     return _PARTS.findall(text)
 
 
+def _pairs(letters: list[str]) -> np.ndarray:
+    """A table of which two bytes, the first as the higher, end one of these letters; of one byte, whatever stands before it."""
+    found = np.zeros((256, 256), bool)
+    for last in (letter.encode()[-2:] for letter in letters):
+        found[last[0] if len(last) == 2 else slice(None), last[-1]] = True
+    return found.ravel()
+
+
+def _bytes(*spans: tuple[int, int]) -> np.ndarray:
+    found = np.zeros(256, bool)
+    for first, last in spans:
+        found[first : last + 1] = True
+    return found
+
+
+# Other characters that end in the same two bytes as a white space are taken for one, which only leaves a cut out.
+_BLANK = _pairs([c for c in map(chr, range(0x3001)) if c.isspace()])
+_LATIN = _pairs([c for c in map(chr, range(0xC0, 0x280)) if c.isalpha()])
+# ASCII letters, and the first bytes of the characters from U+00C0 to U+027F, none of which is white space.
+_LETTER = _bytes((0x41, 0x5A), (0x61, 0x7A), (0xC3, 0xC9))
+_BREAK = _bytes((0x09, 0x0D))
+
+
+def part_starts(data: np.ndarray, at: np.ndarray, window: int = 1 << 18) -> np.ndarray:
+    """Where the parts of many texts begin, and the end; each part can be encoded on its own.
+
+    ``data`` has the UTF-8 bytes of all texts (as uint8), ``at`` the places where they begin, and the end. A cut is made
+    before a space after a character that is no white space, around a line break or tab right before a letter, and
+    behind the plain word that a part begins with. What would need a look beyond a window stays whole.
+    """
+    cut = np.zeros(len(data) + 1, bool)
+    cut[at] = True
+    for first in range(0, len(data), window):
+        _cut(data[first : first + window], cut[first : first + window])
+    return np.flatnonzero(cut)
+
+
+def _cut(data: np.ndarray, cut: np.ndarray) -> None:
+    def pair(place: np.ndarray) -> np.ndarray:
+        return data[place - 1].astype(np.uint16) << 8 | data[place]
+
+    space = np.flatnonzero(data[2:] == 0x20) + 2
+    cut[space] |= ~_BLANK[pair(space - 1)]
+    line = np.flatnonzero(_BREAK[data[:-1]])
+    line = line[_LETTER[data[line + 1]] & ~cut[line + 1]]
+    cut[line] = cut[line + 1] = True
+    letter = _LETTER[data]
+    later = np.flatnonzero(data[1:] & 0xC0 == 0x80) + 1
+    letter[later] = _LATIN[pair(later)]
+    other = np.flatnonzero(~letter)
+    before, here = other[:-1], other[1:]
+    word = (here - before > 1) & (cut[before] & (data[before] == 0x20) | cut[before + 1])
+    cut[here[word & (data[here] < 0x80)]] = True
+
+
 def is_word(part: str) -> bool:
     """Whether a part is one plain word, with or without a space in front: one match of the pattern."""
     return _PLAIN.fullmatch(part) is not None

@@ -18,11 +18,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clientbook.llm.common import slices, table
-from clientbook.llm.segments import LATIN, is_word, parts
+from clientbook.llm.segments import LATIN, is_word, part_starts
 from clientbook.operators.staging import shared_folder
 
 END = 0
@@ -45,7 +46,7 @@ class Ids(dict):
     ``longest`` characters are not kept.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], most: int = 600_000, longest: int = 64):
+    def __init__(self, encode: Callable[[str], bytes], most: int = 400_000, longest: int = 64):
         super().__init__()
         self.encode, self.most, self.longest, self.old = encode, most, longest, {}
 
@@ -56,6 +57,7 @@ class Ids(dict):
             if len(part) > self.longest:
                 return found
         if len(self) >= self.most:
+            self.old = {}  # let go before the copy is made
             self.old = dict(self)
             self.clear()
         self[part] = found
@@ -93,6 +95,27 @@ def _encoder(model: str, path: str, special: bool) -> Ids:
     return _encoders[key]
 
 
+def ids_of(texts: pa.Array, ids: Callable[[str], bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text's ids begin, and the end; and the ids of all texts, each with its end id. A null text is empty.
+
+    Arrow numbers the distinct parts of all texts, ``ids`` is asked once for each, and Arrow puts the answers in place.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, offsets, letters = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(letters or b"", np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    starts = part_starts(data, at)
+    cut = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(data)).dictionary_encode()
+    found = list(map(ids, cut.dictionary.to_numpy(zero_copy_only=False)))
+    values = pa.array(found, pa.large_binary()).take(cut.indices)
+    place = np.zeros(len(starts), np.int64)
+    np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False) // 4, out=place[1:])
+    ends = place[np.searchsorted(starts, at)]
+    joined = np.insert(np.frombuffer(values.buffers()[2] or b"", "<u4", place[-1]), ends[1:], END)
+    return ends + np.arange(len(ends)), joined
+
+
 def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) of every text, the end id included; a null text has the end id alone.
 
@@ -101,21 +124,14 @@ def tokenized(documents: DataFrame, model_path: str, special: bool = False) -> D
     """
     with open(model_path, encoding="utf-8") as file:  # of fixed size, whatever the data
         shared = documents.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([END], dtype="<u4").tobytes()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _encoder(shared.value, model_path, special).__getitem__
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [b"".join(map(ids, parts(text or ""))) + end for text in part.column(1).to_pylist()]
-                counts = np.array([len(row) // 4 for row in rows], dtype=np.int64)
-                at = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                joined = b"".join(rows)
-                values = pa.Array.from_buffers(pa.int32(), len(joined) // 4, [None, pa.py_buffer(joined)])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), pa.ListArray.from_arrays(pa.array(at), values)],
-                    names=["doc_id", "n_tokens", "ids"],
-                )
+                at, values = ids_of(part.column(1), ids)
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at)), lists], names=["doc_id", "n_tokens", "ids"])
 
     return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         each, "doc_id bigint, n_tokens bigint, ids array<int>"

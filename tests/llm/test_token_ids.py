@@ -4,9 +4,21 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
-from clientbook.llm.segments import LATIN, parts
-from clientbook.llm.token_files import Ids
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+from tokenizers import Tokenizer
+
+from clientbook.llm.segments import LATIN, part_starts, parts
+from clientbook.llm.token_files import END, Ids, ids_of
+
+PIECES = [*"aZé×ßɏɐ漢.,0'|<> \t\r\n\x1c\x85\xa0\u3000\u2009", " ", " ", "\n", "'s", "<|endoftext|>", "<|", "end", "\U0001f600", "\u4000"]
+
+
+def text_of(draw: random.Random) -> str:
+    return "".join(draw.choice(PIECES) for _ in range(draw.randint(0, 25)))
 
 
 def test_a_part_is_encoded_once_while_it_is_kept():
@@ -34,3 +46,47 @@ def test_parts_are_cut_as_by_the_plain_expression():
     for _ in range(3000):
         text = "".join(draw.choice("aZ  é×ßɏɐ漢.@[`{~\x7f\n\t 　0'") for _ in range(draw.randint(0, 14)))
         assert parts(text) == plain.findall(text) and "".join(parts(text)) == text
+
+
+def test_equal_parts_of_many_texts_are_asked_for_once():
+    """Work on repeated words is Arrow's: the encoder is asked per distinct part, not per part of each text."""
+    asked: Counter[str] = Counter()
+
+    def encode(part: str) -> bytes:
+        asked[part] += 1
+        return np.array([len(part), 7], "<u4").tobytes()
+
+    at, values = ids_of(pa.array(["one two, two.\nThree two", None, ""] * 100), encode)
+    assert asked == dict.fromkeys(["one", " two", ",", ".", "\n", "Three"], 1)
+    assert np.diff(at).tolist() == [17, 1, 1] * 100
+    assert values[:17].tolist() == [3, 7, 4, 7, 1, 7, 4, 7, 1, 7, 1, 7, 5, 7, 4, 7, END] and values[17:19].tolist() == [END, END]
+
+
+def test_ids_of_many_texts_are_the_librarys():
+    library, draw = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), random.Random(5)
+
+    def whole(text: str | None) -> list[int]:
+        return library.encode(text or "", add_special_tokens=False).ids
+
+    for n in range(800):
+        texts = [None if draw.random() < 0.05 else text_of(draw) for _ in range(draw.randint(1, 6))]
+        skipped = draw.randrange(len(texts))
+        column = pa.array(texts, pa.large_string() if n % 2 else pa.string()).slice(skipped)
+        at, values = ids_of(column, lambda part: np.array(whole(part), "<u4").tobytes())
+        found = [values[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+        assert found == [[*whole(text), END] for text in texts[skipped:]], texts
+
+
+def test_parts_do_not_depend_on_windows_for_their_ids():
+    """A cut that needs a look beyond a window is left out; those that are made are right, and texts are never joined."""
+    library, draw = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), random.Random(6)
+    for _ in range(300):
+        texts = [text_of(draw) for _ in range(3)]
+        sizes = np.cumsum([0, *(len(text.encode()) for text in texts)])
+        raw = "".join(texts).encode()
+        for window in (1, 3, 7, 1 << 18):
+            starts = part_starts(np.frombuffer(raw, np.uint8), sizes, window)
+            assert set(sizes.tolist()) <= set(starts.tolist())
+            cut = [raw[a:b].decode() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            ids = [x for part in cut for x in library.encode(part, add_special_tokens=False).ids]
+            assert ids == [x for text in texts for x in library.encode(text, add_special_tokens=False).ids], texts
