@@ -50,32 +50,46 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without an id are kept. Rows that repeat an id and its text are one document. Rows that repeat an id
     with other texts are documents of their own, which come after those whose id is theirs alone.
     """
-    marked = _told_apart(docs)
-    gone = (
+    marked, repeated = _told_apart(docs)
+    gone = staged(
         minhash.near_duplicates(marked.select(F.col(_MARK).alias("doc_id"), "text"))
         .filter("NOT kept")
         .select(F.col("doc_id").alias("pipeline_gone"))
+        .distinct()
     )
-    left = marked.join(gone, F.col(_MARK) == F.col("pipeline_gone"), "left_anti")
+
+    def left(rows: DataFrame) -> DataFrame:
+        # Only the ids that go are held by a task; whole texts pass it one by one and are not sorted.
+        return rows.join(gone.hint("shuffle_hash"), F.col(_MARK) == F.col("pipeline_gone"), "left_anti")
+
     # A null id is no id: such rows must not be taken for one document.
-    named = left.filter(F.col(_MARK).isNotNull()).dropDuplicates([_MARK])
-    return named.unionByName(left.filter(F.col(_MARK).isNull())).select(*[F.col(f"`{name}`") for name in docs.columns])
+    named = marked.filter(F.col(_MARK).isNotNull())
+    here = F.col("doc_id") == F.col("pipeline_repeated")
+    once = left(named.join(repeated, here, "left_anti"))
+    again = left(named.join(repeated, here, "left_semi")).dropDuplicates([_MARK])
+    unnamed = marked.filter(F.col(_MARK).isNull())
+    return once.unionByName(again).unionByName(unnamed).select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
-def _told_apart(docs: DataFrame) -> DataFrame:
-    """``docs`` with an id per text: the document's own, or one from id and text where its id has several texts."""
+def _told_apart(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with an id per text, and the ids (``pipeline_repeated``) of more than one row.
+
+    The id of a text is the document's own, or one from id and text where its id has several texts.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    several = staged(
+    repeated = staged(
         docs.filter("doc_id IS NOT NULL")
         .select("doc_id", F.xxhash64(text).alias("hash"))
-        .groupBy("doc_id")
-        .agg(F.min("hash").alias("least"), F.max("hash").alias("most"))
-        .filter("least <> most")
-        .select(F.col("doc_id").alias("pipeline_several"))
+        .groupBy(F.col("doc_id").alias("pipeline_repeated"))
+        .agg(F.count("*").alias("rows"), F.min("hash").alias("least"), F.max("hash").alias("most"))
+        .filter("rows > 1")
+        .select("pipeline_repeated", F.expr("least <> most").alias("differ"))
     )
+    several = staged(repeated.filter("differ").select(F.col("pipeline_repeated").alias("pipeline_several")))
     own = F.xxhash64("doc_id", text).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
     mark = F.when(F.col("pipeline_several").isNotNull(), own).otherwise(F.col("doc_id").cast("bigint"))
-    return docs.join(several, F.col("doc_id") == F.col("pipeline_several"), "left").withColumn(_MARK, mark).drop("pipeline_several")
+    marked = docs.join(several, F.col("doc_id") == F.col("pipeline_several"), "left").withColumn(_MARK, mark)
+    return marked.drop("pipeline_several"), repeated.select("pipeline_repeated")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,10 +7,12 @@ import time
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from clientbook.llm import bpe, cross_polytope, minhash, mixing
+from clientbook.llm.common import slices
 from clientbook.llm.segments import Memo, parts, segments, word_and_rest
 
 LONG = " ".join(f"w{i}" for i in range(300))
@@ -26,6 +28,22 @@ def test_near_duplicates_of_a_repeated_id_leave_its_other_texts(spark):
     assert corpus_pipeline.drop_near_duplicates(spark, docs.filter("false"), "").collect() == []
 
 
+def test_texts_with_an_id_of_their_own_are_neither_sorted_nor_grouped(spark):
+    """Sorting whole texts to drop repeated ids took most of an executor's memory; the copies are dropped all the same."""
+    rows = [(i, f"{LONG} {i}" if i % 4 == 0 else f"text {i} has words of its own {i}", "en", "s", 1) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        found = sorted(r.doc_id for r in kept.collect())
+        final = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == [i for i in range(80) if i % 4 or not i]
+    sorts = [line for line in final.splitlines() if ("Sort [" in line or "SortAggregate" in line) and "pipeline_mark" in line]
+    assert "ShuffledHashJoin" in final and not sorts
+
+
 def test_rows_without_an_id_are_drawn_one_by_one(spark):
     rows = [(None, f"text number {i} of one source", "a") for i in range(600)] + [(i, "some words here", "b") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
@@ -111,6 +129,21 @@ def test_links_of_a_document_in_many_pairs(spark, monkeypatch, broadcast):
     assert sorted((r.a, r.b) for r in found) == sorted(p for p in pairs if alike(*p))
 
 
+def test_texts_are_hashed_in_little_memory():
+    """Two workers of an executor held 200 MB each for arrays over 4 MB of text."""
+    draw = random.Random(5)
+    texts = [" ".join(draw.choices(LONG.split(), k=800)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    try:
+        for part in slices(batch, "text", minhash._CHUNK):
+            minhash._half_keys(minhash.shingle_sets(part.column(0)))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert batch.nbytes > 6e6 and most < 80e6
+
+
 class _Counted(str):
     """A piece that counts how often it is looked up."""
 
